@@ -65,8 +65,14 @@ def month_of(time: Column) -> Column:
     return F.date_trunc("month", time)
 
 
+def strip(text: Column) -> Column:
+    """Trim all white space, line ends included."""
+    space = r"[\s\x{1C}-\x{1F}]"
+    return F.regexp_replace(text, rf"(?U)\A{space}+|(?<!{space}){space}+\z", "")
+
+
 def is_blank(text: Column) -> Column:
-    return F.regexp_replace(F.coalesce(text, F.lit("")), SPACES, "") == ""
+    return ~F.coalesce(text, F.lit("")).rlike(r"(?U)[^\s\x{1C}-\x{1F}]")
 
 
 def tokens(text: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from replylane.functions.text import is_blank
+from replylane.functions.text import is_blank, strip
 from replylane.operators.sampling import quota_sample
 from replylane.operators.shape import keep_first
 from replylane.schemas import GOLDEN
@@ -59,7 +59,7 @@ def apply_reviews(golden: DataFrame, reviews: DataFrame, reviewer: str = "human_
     fresh = latest.select("pair_id", *[F.col(c).alias(f"new_{c}") for c in LABEL_COLUMNS], F.lit(True).alias("_seen"))
     joined = golden.join(fresh, "pair_id", "left")
     for name in LABEL_COLUMNS:
-        new = F.trim(F.col(f"new_{name}"))
+        new = strip(F.col(f"new_{name}"))
         joined = joined.withColumn(name, F.coalesce(F.nullif(new, F.lit("")), F.col(name)))
     tag = F.when(F.col("_seen"), F.lit(reviewer)).otherwise(F.col("labeled_by"))
     return joined.withColumn("labeled_by", tag).select(*golden.columns)

@@ -10,9 +10,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.feature import (
+    CountVectorizer, CountVectorizerModel, ElementwiseProduct, Normalizer,
+)
 from pyspark.ml.linalg import Vectors, VectorUDT
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from replylane.functions.text import with_terms
 
@@ -36,7 +38,9 @@ def term_statistics(df: DataFrame, text_col: str, ngrams: tuple[int, int] = (1,
             term.alias("term"), (~term.eqNullSafe(last)).cast("long").alias("is_first")
         ),
     )
-    each = padded.select(F.explode(marks).alias("_m")).select("_m.*")
+    # The arrays are never empty. The outer form spares the emptiness filter, which would
+    # work them out a second time.
+    each = padded.select(F.explode_outer(marks).alias("_m")).select("_m.*")
     return each.groupBy("term").agg(
         F.count(F.lit(1)).alias("cf"), F.sum("is_first").alias("df")
     )
@@ -48,10 +52,13 @@ def vocabulary(
 ) -> DataFrame:
     """The ``max_features`` most frequent terms with their idf; ties go to the lower term."""
     stats = term_statistics(df, text_col, ngrams)
-    rows = stats.where(F.col("term") == "").select("cf").scalar()
-    terms = stats.where((F.col("term") != "") & (F.col("df") >= min_df))
-    top = terms.orderBy(F.desc("cf"), F.asc("term")).limit(max_features)
-    return top.withColumn("idf", F.log((F.lit(1.0) + rows) / (F.lit(1.0) + F.col("df"))) + 1.0)
+    is_total = F.col("term") == ""
+    top = stats.where(is_total | (F.col("df") >= min_df)).orderBy(
+        is_total.desc(), F.desc("cf"), F.asc("term")
+    ).limit(max_features + 1)
+    rows = F.max(F.when(is_total, F.col("cf"))).over(W.partitionBy())  # over the limited rows
+    idf = F.log((F.lit(1.0) + rows) / (F.lit(1.0) + F.col("df"))) + 1.0
+    return top.withColumn("idf", idf).where(~is_total)
 
 
 def _vectors(size: int, idf: np.ndarray):
@@ -82,9 +89,12 @@ def _vectors(size: int, idf: np.ndarray):
 
 @dataclass(frozen=True)
 class TfidfModel:
-    """Terms by index with their idf; ``sublinear`` damps a count c to 1 + ln(c)."""
+    """A term counter with the idf of each of its terms.
 
-    terms: tuple[str, ...]
+    ``sublinear`` damps a count c to 1 + ln(c).
+    """
+
+    counter: CountVectorizerModel
     idf: tuple[float, ...]
     sublinear: bool
     ngrams: tuple[int, int] = (1, 2)
@@ -97,16 +107,23 @@ class TfidfModel:
         rows = vocabulary(df, text_col, max_features, min_df, ngrams).collect()
         if not rows:
             raise ValueError("no term is frequent enough to enter the vocabulary")
-        rows.sort(key=lambda r: r["term"])
-        return cls(
-            tuple(r["term"] for r in rows), tuple(r["idf"] for r in rows), sublinear, ngrams
-        )
+        idf = {r["term"]: r["idf"] for r in rows}
+        # Fitted on the chosen terms, one per row, the counter holds exactly these.
+        chosen = df.sparkSession.createDataFrame(pa.table({"term": list(idf)}))
+        counter = CountVectorizer(
+            inputCol="_terms", outputCol="_counts", vocabSize=len(idf), minDF=1.0
+        ).fit(chosen.select(F.array("term").alias("_terms")))
+        return cls(counter, tuple(idf[t] for t in counter.vocabulary), sublinear, ngrams)
+
+    @property
+    def terms(self) -> list[str]:
+        return self.counter.vocabulary
 
     def with_vector(self, df: DataFrame, text_col: str, out: str = "features") -> DataFrame:
-        """Add the unit-length sparse vector of each row's text."""
-        counted = self._counted(df, text_col)
+        """Add the unit-length sparse vector of each row's text; needs no shuffle."""
+        counted = self.counter.transform(with_terms(df, text_col, "_terms", self.ngrams))
         if self.sublinear:
-            build = _vectors(len(self.terms), np.array(self.idf))
+            build = _vectors(len(self.idf), np.array(self.idf))
             raw = F.unwrap_udt("_counts")
             vectors = counted.withColumn(out, build(raw["indices"], raw["values"]))
         else:
@@ -115,7 +132,7 @@ class TfidfModel:
             )
             unit = Normalizer(p=2.0, inputCol="_weighted", outputCol=out)
             vectors = unit.transform(weigh.transform(counted)).drop("_weighted")
-        return vectors.drop("_counts")
+        return vectors.drop("_terms", "_counts")
 
     def with_arrays(self, df: DataFrame, text_col: str) -> DataFrame:
         """Add the same vector as ``term_ids`` and ``weights`` arrays, by ascending id."""
@@ -126,32 +143,27 @@ class TfidfModel:
             .drop("_vector")
         )
 
-    def _counted(self, df: DataFrame, text_col: str) -> DataFrame:
-        counter = CountVectorizerModel.from_vocabulary(
-            list(self.terms), inputCol="_terms", outputCol="_counts"
-        )
-        return counter.transform(with_terms(df, text_col, "_terms", self.ngrams)).drop("_terms")
-
-    def save(self, spark: SparkSession, path: str) -> None:
-        settings = {"sublinear": F.lit(self.sublinear), "ngrams": F.array(*map(F.lit, self.ngrams))}
-        self.table(spark).withColumns(settings).coalesce(1).write.mode("overwrite").parquet(path)
-
-    @classmethod
-    def load(cls, spark: SparkSession, path: str) -> "TfidfModel":
-        rows = sorted(spark.read.parquet(path).collect(), key=lambda r: r["term_id"])
-        terms, idf = tuple(r["term"] for r in rows), tuple(r["idf"] for r in rows)
-        return cls(terms, idf, rows[0]["sublinear"], tuple(rows[0]["ngrams"]))
-
     def table(self, spark: SparkSession) -> DataFrame:
         """The vocabulary as rows of (term_id, term, idf)."""
         return spark.createDataFrame(
             pa.table({
-                "term_id": pa.array(range(len(self.terms)), pa.int32()),
+                "term_id": pa.array(range(len(self.idf)), pa.int32()),
                 "term": pa.array(self.terms, pa.string()),
                 "idf": pa.array(self.idf, pa.float64()),
             })
         )
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        self.counter.write().overwrite().save(f"{path}/counter")
+        row = {"idf": [list(self.idf)], "sublinear": [self.sublinear], "ngrams": [list(self.ngrams)]}
+        spark.createDataFrame(pa.table(row)).write.mode("overwrite").parquet(f"{path}/weights")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "TfidfModel":
+        row = spark.read.parquet(f"{path}/weights").first()
+        counter = CountVectorizerModel.load(f"{path}/counter")
+        return cls(counter, tuple(row["idf"]), row["sublinear"], tuple(row["ngrams"]))
+
 
 def term_weights(model: TfidfModel, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per document and term with its weight.

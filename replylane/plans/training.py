@@ -45,10 +45,10 @@ class IntentModel:
         Starts from the coefficient matrix, labels x vocabulary, which the model holds anyway.
         """
         weights = self.regression.coefficientMatrix.toArray()
-        size = len(self.vectors.terms)
+        terms = self.vectors.terms
         table = pa.table({
-            "label": pa.array([l for l in self.labels for _ in range(size)], pa.string()),
-            "term": pa.array(self.vectors.terms * len(self.labels), pa.string()),
+            "label": pa.array([l for l in self.labels for _ in terms], pa.string()),
+            "term": pa.array(terms * len(self.labels), pa.string()),
             "weight": pa.array(weights.ravel(), pa.float64()),
         })
         rank = F.row_number().over(W.partitionBy("label").orderBy(F.desc("weight"), "term"))
@@ -74,6 +74,7 @@ class IntentModel:
 def fit_intent_model(
     train: DataFrame, text_col: str, label_col: str, max_features: int = MAX_FEATURES,
     min_df: int = 2, strength: float = 2.0, max_iter: int = 1000,
+    tolerance: float = 1e-6,
 ) -> IntentModel:
     """Balanced multinomial regression on damped TF-IDF, inverse L2 strength ``strength``."""
     sizes = train.groupBy(label_col).agg(F.count(F.lit(1)).alias("n"))
@@ -95,7 +96,7 @@ def fit_intent_model(
     # The balanced weights sum to the row count, so this is 1 / (C * sum of weights).
     regression = LogisticRegression(
         family="multinomial", weightCol="weight", regParam=1.0 / (strength * total),
-        elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=1e-8,
+        elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=tolerance,
     )
     return IntentModel(vectors, regression.fit(ready), labels)
 

@@ -95,7 +95,14 @@ def _once(spark: SparkSession, sf_dir: str, name: str, build):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return pin_runtime(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; one that comes in fewer files than there are cores is spread out.
+
+    The test tables are single files with a single row group, hence a single task. A table
+    of many files is scanned as it is.
+    """
+    scan = pin_runtime(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return scan if len(scan.inputFiles()) >= cores else scan.repartition(cores)
 
 
 def raw_rows(turns: DataFrame) -> DataFrame:

@@ -356,7 +356,7 @@ WHERE place <= round_even(100.0::DOUBLE / total * size, 0)"""),
         "judge_vs_human": _with(BOTH, "SELECT dimension, count(*) AS n, round(avg(abs(m - h)), 6) "
                                 "AS mean_abs_diff FROM both_sides GROUP BY 1"),
         "judge_kappa": _with(BOTH, """SELECT dimension, n, round(po, 6) AS agreement,
-  round((po - pe) / (1 - pe), 6) AS kappa
+  round((po - pe) / (1 - pe), 6) + 0.0 AS kappa
 FROM (SELECT dimension, count(*) AS n, avg((m = h)::INT) AS po FROM both_sides WHERE m IS NOT NULL GROUP BY 1)
 JOIN (SELECT a.dimension, sum(a.s * b.s) AS pe
   FROM (SELECT dimension, m, count(*) / sum(count(*)) OVER (PARTITION BY dimension) AS s
@@ -385,16 +385,16 @@ FROM (SELECT position, l.intent, count(id) AS n, (SELECT count(*) FROM classifie
 
 
 def _split() -> str:
-    return """SELECT pair_id, weak_intent, place <= size - given AS is_validation FROM (
-  SELECT pair_id, weak_intent, size, row_number() OVER (
-      PARTITION BY weak_intent ORDER BY md5('42:' || pair_id), pair_id) AS place,
-    whole + CASE WHEN nth <= n_train - (sum(whole) OVER all_labels) THEN 1 ELSE 0 END AS given
+    return """SELECT pair_id, l.weak_intent, row_number() OVER (
+    PARTITION BY l.weak_intent ORDER BY md5('42:' || pair_id), pair_id) <= size - given AS is_validation
+FROM labelled l JOIN (
+  SELECT weak_intent, size,
+    whole + CASE WHEN nth <= n_train - sum(whole) OVER () THEN 1 ELSE 0 END AS given
   FROM (SELECT *, (size * n_train) // n AS whole,
       row_number() OVER (ORDER BY (size * n_train) % n DESC, weak_intent) AS nth
     FROM (SELECT weak_intent, count(*) AS size, CAST((SELECT count(*) FROM labelled) AS BIGINT) AS n,
         CAST((SELECT count(*) - ceil(0.1::DOUBLE * count(*)) FROM labelled) AS BIGINT) AS n_train
-      FROM labelled GROUP BY 1)
-    ) s WINDOW all_labels AS ()) sized JOIN labelled USING (weak_intent)"""
+      FROM labelled GROUP BY 1))) sized ON sized.weak_intent = l.weak_intent"""
 
 
 def _report() -> str:

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+# The small minimum keeps compute-heavy stages parallel: a few kilobytes of rules, text or
+# query terms can be a lot of work, which coalescing by bytes alone would put in one task.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
