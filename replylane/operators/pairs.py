@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from replylane.functions.text import clean_text, parse_message_time
 from replylane.operators.shape import dense_index, join_unique, keep_first
 from replylane.schemas import PAIR
+from replylane.staging import stage
 
 
 def reply_pairs(
@@ -60,13 +61,17 @@ def clean_pairs(pairs: DataFrame, min_length: int = 8) -> DataFrame:
 
 
 def number_pairs(pairs: DataFrame, prefix: str) -> DataFrame:
-    """``PREFIX-000000`` ids in time order, times that did not parse last."""
+    """``PREFIX-000000`` ids in time order, times that did not parse last.
+
+    The rows are written first: a range sort reads its input twice, to find the ranges and
+    to sort, and the join above should run once.
+    """
     keys = [
         F.col("customer_time").asc_nulls_last(),
         F.col("customer_message_id").asc(),
         F.col("agent_message_id").asc(),
     ]
-    numbered = dense_index(pairs, keys, "_n")
+    numbered = dense_index(stage(pairs, "clean-pairs"), keys, "_n")
     pair_id = F.format_string(f"{prefix}-%06d", F.col("_n"))
     return numbered.withColumn("pair_id", pair_id).select(*PAIR.names)
 

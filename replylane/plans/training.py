@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -16,6 +17,7 @@ from replylane.operators.tfidf import MAX_FEATURES, TfidfModel
 from replylane.staging import stage
 
 MAX_LABELS = 10_000
+ROWS_PER_TASK = 10_000
 
 
 @dataclass(frozen=True)
@@ -93,6 +95,8 @@ def fit_intent_model(
         (F.col("_at") - 1).cast("double").alias("label"),
         F.element_at(balance, F.col("_at")).alias("weight"),
     )
+    # Every optimiser step is a job. Few rows in many tasks would be all scheduling.
+    ready = ready.coalesce(math.ceil(total / ROWS_PER_TASK))
     # The balanced weights sum to the row count, so this is 1 / (C * sum of weights).
     regression = LogisticRegression(
         family="multinomial", weightCol="weight", regParam=1.0 / (strength * total),

@@ -158,22 +158,19 @@ def rule_classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asked.withColumn("intent", RULES.label(F.col("text")))
 
 
-def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def labelled_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs with their weak intent, labelled once and stored."""
     def build() -> DataFrame:
         dump = messages(spark, sf_dir)
         built = build_pairs(dump, BRAND, PREFIX, F.col("ordinal"), airline.MIN_CUSTOMER_LENGTH)
-        return stage(built, "pairs")
+        labelled = built.withColumn("weak_intent", RULES.label(F.col("customer_clean")))
+        return stage(labelled, "pairs")
 
     return _once(pin_runtime(spark), sf_dir, "pairs", build)
 
 
-def labelled_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs with their weak intent, labelled once and stored."""
-    def build() -> DataFrame:
-        labelled = pairs(spark, sf_dir).withColumn("weak_intent", RULES.label(F.col("customer_clean")))
-        return stage(labelled, "labelled")
-
-    return _once(spark, sf_dir, "labelled", build)
+def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labelled_pairs(spark, sf_dir).drop("weak_intent")
 
 
 def case_index(spark: SparkSession, sf_dir: str) -> CaseIndex:
