@@ -244,7 +244,9 @@ def missing_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stale_labels(spark: SparkSession, sf: str) -> DataFrame:
-    return golden.stale_labels(_template(spark, sf), inputs.gold_labels(spark, sf))
+    """Gold labels, of all pairs, that no row of a small template asks for."""
+    template = golden.golden_template(inputs.labelled_pairs(spark, sf), inputs.TEST_QUOTAS)
+    return golden.stale_labels(template, inputs.gold_labels(spark, sf))
 
 
 def review_overrides(spark: SparkSession, sf: str) -> DataFrame:

@@ -79,7 +79,7 @@ LANGUAGE_RULES = RuleSet(
 INSULTS = (("insult", r"\b(disgust\w*|pathetic|idiot|stupid)\b"),)
 LANGUAGES = ("en", "fr", "de", "es", "unknown")
 
-TEST_QUOTAS = {intent: 5 for intent in airline.INTENTS}
+TEST_QUOTAS = {intent: 2 for intent in airline.INTENTS}
 RULES = airline.rules(LOYALTY)
 DESK = Desk(airline.policy(), airline.templates(LOYALTY), airline.DEFAULT_INTENT, BRAND)
 

@@ -295,7 +295,7 @@ WHERE place <= round_even(100.0::DOUBLE / total * size, 0)"""),
                             "'first_pass' AS labeled_by FROM template JOIN gold USING (pair_id)"),
         "missing_labels": _with(TEMPLATE, "SELECT pair_id FROM template JOIN gold USING (pair_id) "
                                 "WHERE gold_escalate <> 'escalate'"),
-        "stale_labels": _with(TEMPLATE, "SELECT pair_id FROM gold WHERE pair_id NOT IN "
+        "stale_labels": _with(f"{GOLD}, {_quota(inputs.TEST_QUOTAS)}", "SELECT pair_id FROM gold WHERE pair_id NOT IN "
                               "(SELECT pair_id FROM template)"),
         "review_overrides": _with(GOLD, "SELECT pair_id, gold_intent, CASE WHEN gold_intent = "
                                   "'service_complaint' THEN 'escalate' ELSE gold_escalate END AS gold_escalate, "
