@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -9,9 +10,36 @@ from pyspark.sql import Column, DataFrame, functions as F
 MAX_RULES = 10_000
 
 
+def _is_one_branch(pattern: str) -> bool:
+    """Whether the pattern has no alternation outside its groups."""
+    bare, left = None, re.sub(r"\\.|\[[^\]]*\]", "", pattern)
+    while bare != left:
+        bare, left = left, re.sub(r"\([^()]*\)", "", left)
+    return "|" not in left
+
+
 def _regex(*patterns: str) -> str:
-    """One alternation with Unicode classes, where only a newline ends a line."""
-    return "(?Ud)" + "|".join(f"(?:{p})" for p in patterns)
+    """One alternation with Unicode classes, where only a newline ends a line.
+
+    A word boundary that starts several patterns is tested once for all of them, which
+    settles most positions of a text at once.
+    """
+    shared = [p for p in patterns if p.startswith(r"\b") and _is_one_branch(p)]
+    parts = [f"(?:{p})" for p in patterns if p not in shared]
+    if shared:
+        parts.append(r"\b(?:" + "|".join(f"(?:{p[2:]})" for p in shared) + ")")
+    return "(?Ud)" + "|".join(parts)
+
+
+def _any(lowered: Column, patterns: tuple[str, ...]) -> Column:
+    """Whether any pattern is found; one with a back-reference keeps a regex of its own."""
+    alone = [p for p in patterns if re.search(r"\\[1-9k]", p)]
+    joined = [p for p in patterns if p not in alone]
+    tests = [lowered.rlike(_regex(*group)) for group in ([joined] if joined else []) + [[p] for p in alone]]
+    found = tests[0]
+    for test in tests[1:]:
+        found = found | test
+    return found
 
 
 @dataclass(frozen=True)
@@ -47,7 +75,7 @@ class RuleSet:
         lowered = F.lower(F.coalesce(text, F.lit("")))
         chain = F
         for i, (label, patterns) in enumerate(self.rules):
-            chain = chain.when(lowered.rlike(_regex(*patterns)), value(i, label))
+            chain = chain.when(_any(lowered, patterns), value(i, label))
         return chain.otherwise(otherwise)
 
     def matches(self, text: Column) -> Column:

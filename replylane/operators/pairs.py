@@ -28,10 +28,11 @@ def reply_pairs(
         F.col("text").alias("agent_text"),
         F.col("created_at").alias("agent_time"),
     )
+    # What is not inbound can only hide a later copy, so its text need not travel.
     numbered = messages.where(F.col("message_id").isNotNull()).select(
         F.col("message_id").alias("customer_message_id"),
-        F.col("text").alias("customer_text"),
-        F.col("created_at").alias("_created_at"),
+        F.when(F.col("inbound"), F.col("text")).alias("customer_text"),
+        F.when(F.col("inbound"), F.col("created_at")).alias("_created_at"),
         F.col("reply_to_id").alias("_above"),
         "inbound",
         ordinal.alias("_ordinal"),

@@ -126,8 +126,8 @@ def pair_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 def first_copies(spark: SparkSession, sf: str) -> DataFrame:
     """Of documents with the same text, the one with the lowest id."""
-    docs = inputs.table(spark, sf, "documents").select("text", "doc_id", "source")
-    return keep_first(docs, "text", F.col("doc_id")).select("doc_id", "source", F.md5("text").alias("text_md5"))
+    docs = inputs.table(spark, sf, "documents").select(F.md5("text").alias("text_md5"), "doc_id", "source")
+    return keep_first(docs, "text_md5", F.col("doc_id"))
 
 
 # --- rules and decisions --------------------------------------------------------------

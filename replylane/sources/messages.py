@@ -47,9 +47,12 @@ def write_table(
 
 
 def write_pairs(df: DataFrame, path: str, observation: Observation | None = None) -> None:
-    """Pairs partitioned by the month of the customer's message, for partition pruning."""
+    """Pairs partitioned by the month of the customer's message, for partition pruning.
+
+    Rebalancing by month keeps the number of files low, and splits a month that is large.
+    """
     monthly = df.withColumn("month", F.date_format(month_of(F.col("customer_time")), "yyyy-MM"))
-    write_table(monthly, path, ("month",), observation)
+    write_table(monthly.hint("rebalance", F.col("month")), path, ("month",), observation)
 
 
 def write_metadata(df: DataFrame, path: str) -> None:

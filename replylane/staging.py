@@ -9,6 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,9 +31,15 @@ def shared_dir(spark: SparkSession) -> str:
     return created
 
 
+_scope: ContextVar[str] = ContextVar("staging_scope", default="shared")
+
+
+def _root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/replylane/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/replylane/{app}/{name}-{uuid.uuid4().hex}"
+    return f"{_root(spark)}/{_scope.get()}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
@@ -41,10 +50,16 @@ def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(target)
 
 
-def clear(spark: SparkSession) -> None:
-    """Remove this application's staged tables, once nothing reads them any more."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(
-        f"{shared_dir(spark)}/replylane/{spark.sparkContext.applicationId}"
-    )
-    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are removed at the end, when their results have been written."""
+    name = uuid.uuid4().hex
+    token = _scope.set(name)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        jvm = spark.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(f"{_root(spark)}/{name}")
+        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.delete(folder, True)

@@ -131,3 +131,9 @@ def test_match_table_agrees_with_the_chain(spark):
     table = first_match(match_table(df, "id", "text", RULES), "id")
     chain = df.select("id", RULES.label(F.col("text")).alias("label"))
     assert table.exceptAll(chain).count() == 0 and table.count() == len(data)
+
+
+def test_back_references_and_open_alternations(column):
+    rules = RuleSet((("twice", (r"\b(ab)c", r"(x+)y\1", r"\bone|two\b")),), "none")
+    values = ["abc", "xxyxx", "xyz", "one", "stwo", "zabc", "two's"]
+    assert column(values, rules.label) == ["twice", "twice", "none", "twice", "twice", "none", "twice"]
