@@ -95,8 +95,9 @@ def fit_intent_model(
         (F.col("_at") - 1).cast("double").alias("label"),
         F.element_at(balance, F.col("_at")).alias("weight"),
     )
-    # Every optimiser step is a job. Few rows in many tasks would be all scheduling.
-    ready = ready.coalesce(math.ceil(total / ROWS_PER_TASK))
+    # The vectors are written once, in parallel. Every optimiser step is a job of its own, so
+    # few rows in many tasks would be all scheduling.
+    ready = stage(ready, "vectors").coalesce(math.ceil(total / ROWS_PER_TASK))
     # The balanced weights sum to the row count, so this is 1 / (C * sum of weights).
     regression = LogisticRegression(
         family="multinomial", weightCol="weight", regParam=1.0 / (strength * total),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from replylane.functions import drafting
 from replylane.operators.retrieval import CaseIndex
 from replylane.packs import airline
-from replylane.plans import evaluation, training, triage
+from replylane.plans import evaluation, replies, training, triage
 from replylane.streaming import live
 
 RULES = airline.rules("StarMiles")
@@ -173,3 +173,22 @@ def test_stream_equals_batch(spark, trained, index, tmp_path):
     batch = triage.triage(frame.select("id", "text"), trained[0], index, DESK).select(*keep)
     assert streamed.count() == 30
     assert streamed.exceptAll(batch).count() == 0
+
+
+def test_judging_round(spark, trained, index, pairs):
+    asked = replies.judge_requests(pairs, 4, trained[0], index, DESK)
+    assert [r["pair_id"] for r in asked.orderBy("pair_id").collect()] == [f"PX-{i:06d}" for i in range(4)]
+    assert asked.where(F.contains("prompt", "draft_reply")).count() == 4
+    answers = asked.select(
+        "pair_id", F.lit('{"grounded": 4, "relevant": 4, "tone": 5, "actionable": 3, "notes": "ok"}').alias("response")
+    )
+    human = spark.createDataFrame(
+        [("PX-000001", 4, 3, 5, 1)],
+        "pair_id string, human_grounded int, human_relevant int, human_tone int, human_actionable int",
+    )
+    result = replies.judge(asked, answers, human)
+    assert {r["dimension"]: r["mean_score"] for r in result.means.collect()}["tone"] == 5.0
+    gaps = {r["dimension"]: r["mean_abs_diff"] for r in result.differences.collect()}
+    assert gaps == {"grounded": 0.0, "relevant": 1.0, "tone": 0.0, "actionable": 2.0}
+    assert result.kappas.count() == 4 and result.scores.count() == 4
+    assert replies.judge(asked, answers).differences is None
