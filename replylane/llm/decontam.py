@@ -26,8 +26,10 @@ Q = 8
 RATE = 0.1
 BLOCK_BYTES = 4 << 20
 BLOCK_ITEMS = 20_000
-_PIECE = 1 << 20
-_FILTER_BITS = 22
+_PIECE = 4 << 20
+_FILTER_BITS = 20
+_COUNT_BITS = 20
+_ALIGNED = 256
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -54,6 +56,7 @@ class Items:
     budget: np.ndarray
     need: np.ndarray
     grams: np.ndarray
+    first: np.ndarray
     owner: np.ndarray
     place: np.ndarray
     seen: np.ndarray
@@ -71,92 +74,147 @@ class Items:
         place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else owner
         every = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
         order = np.argsort(every, kind="stable")
+        distinct, first = np.unique(every[order], return_index=True)
         seen = np.zeros(1 << _FILTER_BITS, bool)
         seen[_slot(every)] = True
         return cls(np.array([ids[i] for i in long_enough], object), texts, budget,
-                   sizes + 1 - Q - budget * Q, every[order], owner[order], place[order], seen)
+                   sizes + 1 - Q - budget * Q, distinct, np.append(first, len(every)),
+                   owner[order], place[order], seen)
 
     def hits(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(place in data, item, place in item) of every shared q-gram."""
         grams = _grams(data)
         at = np.flatnonzero(self.seen[_slot(grams)])
-        low = np.searchsorted(self.grams, grams[at], "left")
-        many = np.searchsorted(self.grams, grams[at], "right") - low
-        at, low, many = at[many > 0], low[many > 0], many[many > 0]
+        if not len(at) or not len(self.grams):
+            return (np.zeros(0, np.int64),) * 3
+        found = np.minimum(np.searchsorted(self.grams, grams[at]), len(self.grams) - 1)
+        same = self.grams[found] == grams[at]
+        at, found = at[same], found[same]
+        low, many = self.first[found], self.first[found + 1] - self.first[found]
         pick = np.repeat(low - np.append(0, np.cumsum(many)[:-1]), many) + np.arange(many.sum())
         return np.repeat(at, many), self.owner[pick], self.place[pick]
 
 
-def _bands(items: Items, data: np.ndarray) -> list[tuple[int, int]]:
-    """(item, first diagonal) of the bands that hold enough shared q-grams.
+def _bands(items: Items, data: np.ndarray, cuts: np.ndarray) -> list[np.ndarray]:
+    """(text, item, first diagonal) of the bands that hold enough shared q-grams.
 
-    A band of item i covers 2*w diagonals from a multiple of w = budget + 1 on.
+    Bands of an item are 2*w diagonals wide and begin at multiples of w = budget + 1, so each
+    hit counts in two. A gram of the item counts once in a band however often the text has it.
     """
+    none = [np.zeros(0, np.int64)] * 3
     at, item, place = items.hits(data)
     if not len(at):
-        return []
-    width = items.budget[item] + 1
-    half = (at - place) // width
-    low, span = half.min() - 1, int(half.max() - half.min()) + 3
-    # a hit lies in the band that begins at its own half, and in the one before
-    key = item * span + (half - low)
-    key, count = np.unique(np.concatenate([key, key - 1]), return_counts=True)
-    keep = count >= items.need[key // span]
-    return [(int(k // span), int((k % span + low) * (items.budget[k // span] + 1))) for k in key[keep]]
-
-
-def align(item: np.ndarray, data: np.ndarray, first: int, width: int) -> tuple[int, int, int]:
-    """(distance, start, end): the item inside ``data``, on ``width`` diagonals from ``first``.
-
-    Column b of row i stands for the place first + b + i in data; a step along the item keeps
-    the diagonal, a skipped byte of the item lowers it, a skipped byte of the data raises it.
+        return none
+    # Plain numbers first, in hashed counters: they may be too high, never too low.
+    slot = (at - place) // (items.budget[item] + 1) + item * 1_000_003
+    mask = (1 << _COUNT_BITS) - 1
+    counted = np.bincount(slot & mask, minlength=mask + 1)
+    near = np.maximum(counted[(slot - 1) & mask], counted[(slot + 1) & mask])
+    on = counted[slot & mask] + near >= items.need[item]
+    at, item, place = at[on], item[on], place[on]
+    text = np.searchsorted(cuts, at, "right") - 1
+    whole = at + Q <= cuts[text + 1]
+    at, item, place, text = at[whole], item[whole], place[whole], text[whole]
+    if not len(at):
+        return none
+    half = (at - place) // (items.budget[item] + 1)
+    rows = np.stack([np.tile(text, 2), np.tile(item, 2), np.append(half, half - 1), np.tile(place, 2)])
+    rows = rows[:, np.lexsort(rows[::-1])]
+    rows = rows[:3, np.append(True, (rows[:, 1:] != rows[:, :-1]).any(0))]
+    edges = np.flatnonzero(np.append(True, (rows[:, 1:] != rows[:, :-1]).any(0)))
+    count = np.diff(np.append(edges, rows.shape[1]))
+    of, what, band = rows[:, edges]
+    keep = count >= items.need[what]
+    return [of[keep], what[keep], band[keep] * (items.budget[what[keep]] + 1)]
+
+
+def align(
+    items: list[np.ndarray], data: np.ndarray, first: np.ndarray, width: np.ndarray,
+    low: np.ndarray, high: np.ndarray,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distance, start, end) of each item inside its part low..high of ``data``.
+
+    Only ``width`` diagonals from ``first`` on are used. Column b of row i stands for the place
+    first + b + i in data; a step along the item keeps the diagonal, a skipped byte of the
+    item lowers it, a skipped byte of the data raises it. All items advance together.
     """
-    steps = np.arange(width)
-    before = np.zeros(width, np.int64)
-    begin = first + steps
-    outside = (begin < 0) | (begin > len(data))
-    big = len(item) + len(data) + width + 1
-    before[outside] = big
-    padded = np.full(width, -1, np.int64)
-    for i, letter in enumerate(item.tolist()):
-        places = first + steps + i
-        valid = (places >= 0) & (places < len(data))
-        padded[:] = -1
-        padded[valid] = data[places[valid]]
-        cost = before + np.where(padded == letter, 0, np.where(valid, 1, big))
+    n, sizes, wide = len(items), np.array([len(t) for t in items]), int(width.max())
+    steps = np.arange(wide)
+    big = 1 << 20
+    letters = np.full((n, int(sizes.max())), -2, np.int16)
+    for i, item in enumerate(items):
+        letters[i, : len(item)] = item
+    places = first[:, None] + np.arange(letters.shape[1] + wide)
+    inside = (places >= low[:, None]) & (places < high[:, None])
+    source = np.where(inside, data[np.clip(places, 0, len(data) - 1)].astype(np.int16), -1)
+    begin = first[:, None] + steps
+    closed = steps >= width[:, None]
+    before = np.where((begin < low[:, None]) | (begin > high[:, None]) | closed, big, 0)
+    ended = (np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64))
+    for i in range(letters.shape[1]):
+        part = source[:, i : i + wide]
+        cost = before + np.where(part == letters[:, i : i + 1], 0, np.where(part < 0, big, 1))
         start = begin.copy()
-        drop = np.append(before[1:] + 1, big)
-        better = drop < cost
-        cost[better] = drop[better]
-        start[better] = np.append(begin[1:], 0)[better]
-        ends = places + 1
-        cost[(ends < 0) | (ends > len(data))] = big
+        drop = before[:, 1:] + 1
+        better = drop < cost[:, :-1]
+        cost[:, :-1][better] = drop[better]
+        start[:, :-1][better] = begin[:, 1:][better]
+        end = places[:, i + 1 : i + 1 + wide]
+        cost[(end < low[:, None]) | (end > high[:, None]) | closed] = big
         # skipped bytes of the data: the best column to the left, one more for each step
         base = cost - steps
-        best = np.minimum.accumulate(base)
-        source = np.maximum.accumulate(np.where(base == best, steps, 0))
-        before, begin = best + steps, start[source]
-    last = int(np.argmin(before))
-    return int(before[last]), int(begin[last]), first + last + len(item)
-
-
-def matches(items: Items, data: np.ndarray) -> list[tuple[object, int, int, int]]:
-    """(item id, start, end, distance) of the best occurrence of each item in one text.
-
-    Long texts go through in overlapping pieces; the overlap holds the longest occurrence.
+        best = np.minimum.accumulate(base, axis=1)
+        column = np.maximum.accumulate(np.where(base == best, steps, 0), axis=1)
+        before, begin = best + steps, np.take_along_axis(start, column, 1)
+        before[closed] = big
+        done = np.flatnonzero(sizes == i + 1)
+        if len(done):
+            last = np.argmin(before[done], axis=1)
+            ended[0][done] = before[done, last]
+            ended[1][done] = begin[done, last]
+            ended[2][done] = first[done] + last + i + 1
+    return ended
+
+
+def _pieces(offsets: np.ndarray, reach: int):
+    """Runs of (text, begin, end) of about ``_PIECE`` bytes; long texts in overlapping pieces."""
+    run, size = [], 0
+    for text, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
+        for begin in range(a, max(b, a + 1), _PIECE):
+            end = min(b, begin + _PIECE + reach)
+            if size and size + end - begin > _PIECE:
+                yield run
+                run, size = [], 0
+            run.append((text, begin, end))
+            size += end - begin
+    if run:
+        yield run
+
+
+def matches(items: Items, column: pa.Array) -> list[tuple[int, object, int, int, int]]:
+    """(row, item id, start, end, distance) of the best occurrence of each item in each text.
+
+    Pieces of long texts overlap by more than the longest occurrence.
     """
-    data = _FOLD[data]
+    raw, offsets = as_bytes(column)
     reach = 2 * max((len(t) + int(k) + 1 for t, k in zip(items.texts, items.budget)), default=0)
-    best: dict[int, tuple[int, int, int]] = {}
-    for offset in range(0, max(1, len(data)), _PIECE):
-        piece = data[offset : offset + _PIECE + reach]
-        for item, first in _bands(items, piece):
-            width = 2 * (int(items.budget[item]) + 1)
-            distance, start, end = align(items.texts[item], piece, first, width)
-            found = (distance, start + offset, end + offset)
-            if distance <= items.budget[item] and found < best.get(item, (1 << 60, 0, 0)):
-                best[item] = found
-    return [(items.ids[i], s, e, d) for i, (d, s, e) in sorted(best.items())]
+    best: dict[tuple[int, int], tuple[int, int, int]] = {}
+    for run in _pieces(offsets, reach):
+        cuts = np.append(0, np.cumsum([end - begin for _, begin, end in run]))
+        data = _FOLD[np.concatenate([raw[begin:end] for _, begin, end in run])]
+        part, item, first = _bands(items, data, cuts)
+        for a in range(0, len(part), _ALIGNED):
+            i, p, f = item[a : a + _ALIGNED], part[a : a + _ALIGNED], first[a : a + _ALIGNED]
+            found = align([items.texts[k] for k in i], data, f, 2 * (items.budget[i] + 1),
+                          cuts[p], cuts[p + 1])
+            for k, row, distance, start, end in zip(i.tolist(), p.tolist(), *map(np.ndarray.tolist, found)):
+                if distance <= items.budget[k]:
+                    text, begin, _ = run[row]
+                    shift = begin - int(offsets[text]) - int(cuts[row])
+                    value = (distance, start + shift, end + shift)
+                    if value < best.get((text, k), (1 << 60, 0, 0)):
+                        best[text, k] = value
+    return [(t, items.ids[k], s, e, d) for (t, k), (d, s, e) in sorted(best.items())]
 
 
 def _blocks(benchmark: DataFrame):
@@ -187,12 +245,9 @@ def find_items(documents: DataFrame, benchmark: DataFrame, rate: float = RATE) -
 
         def run(batches, items=items):
             for batch in batches:
-                data, offsets = as_bytes(batch.column("text"))
-                out = [
-                    (doc_id.as_py(), *match)
-                    for doc_id, a, b in zip(batch.column("doc_id"), offsets[:-1], offsets[1:])
-                    for match in matches(items.value, data[a:b])
-                ]
+                ids = batch.column("doc_id")
+                out = [(ids[row].as_py(), *match)
+                       for row, *match in matches(items.value, batch.column("text"))]
                 columns = list(zip(*out)) if out else [[]] * 5
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.int64()) for c in columns],
@@ -216,10 +271,9 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, rate: float = RATE
 
         def run(batches, items=items):
             for batch in batches:
-                data, offsets = as_bytes(batch.column("text"))
-                clean = [not matches(items.value, data[a:b])
-                         for a, b in zip(offsets[:-1], offsets[1:])]
-                yield batch.filter(pa.array(clean, pa.bool_()))
+                clean = np.ones(batch.num_rows, bool)
+                clean[[row for row, *_ in matches(items.value, batch.column("text"))]] = False
+                yield batch.filter(pa.array(clean))
 
         kept = kept.mapInArrow(run, documents.schema)
     return kept
