@@ -16,6 +16,7 @@ both classes every score is the rate of label 1 (0 if there are none).
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -330,7 +331,10 @@ def train(
     documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, updates: int = UPDATES,
     seed: int = SEED,
 ) -> Network:
-    """Fit on four fifths of the sample outside the held-out fold, calibrate on the rest."""
+    """Fit on four fifths of the sample outside the held-out fold, calibrate on the rest.
+
+    The sample is bounded by ``per_class``, so one task takes it; a lost one runs again.
+    """
     known = labelled.one_label(labels, "toxic")
     known = known.where(labelled.fold(F.col("doc_id"), FOLDS) != 0)
     clean, toxic = labelled.class_counts(known)
@@ -339,14 +343,30 @@ def train(
         network.slope, network.offset = 0.0, float(logit(float(bool(toxic))))
         return network
     chosen = labelled.choose(known, per_class, seed)
-    texts = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").toArrow()
-    ids = texts.column("doc_id").to_numpy()
-    _, first = np.unique(ids, return_index=True)
-    ids, y = ids[first], texts.column("y").to_numpy()[first].astype(np.float64)
-    column = texts.column("text").combine_chunks().take(pa.array(first))
-    if not len(y) or y.min() == y.max():
+
+    def run(batches):
+        tables = [pa.Table.from_batches([b]) for b in batches]
+        if tables:
+            fitted = _fitted(pa.concat_tables(tables), clean, toxic, updates, seed)
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fitted)], pa.binary())], ["network"])
+
+    sample = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    row = sample.repartition(1).mapInArrow(run, "network binary").first()
+    if row is None:
         network.slope, network.offset = 0.0, float(logit(toxic / (clean + toxic)))
         return network
+    return pickle.loads(row["network"])
+
+
+def _fitted(sample: pa.Table, clean: int, toxic: int, updates: int, seed: int) -> Network:
+    """The network for a sample of (doc_id, text, y) out of so many labels of each kind."""
+    sample = sample.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    ids, first = np.unique(sample.column("doc_id").to_numpy(), return_index=True)
+    sample = sample.take(pa.array(first))
+    y = sample.column("y").to_numpy().astype(np.float64)
+    column = sample.column("text").cast(pa.large_string()).combine_chunks()
+    if y.min() == y.max():
+        return Network(Network.fresh(seed).p, 0.0, float(logit(toxic / (clean + toxic))))
     held = mix(ids.astype(np.uint64)) % np.uint64(5) == 0
     if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
         held = np.zeros(len(y), bool)
