@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from replylane.llm import decontam, pii, quality_rules, toxicity, warc
+from replylane.llm import decontam, packing, pii, quality, quality_rules, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,15 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents, toxicity.train(documents, _table(spark, sf_dir, "labels")))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return quality.score(documents, quality.train(documents, _table(spark, sf_dir, "labels")))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.read_packs(packing.write_packs(_table(spark, sf_dir, "documents")))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(warc.write_archives(_table(spark, sf_dir, "pages")))
 
@@ -39,6 +48,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
+    "op3_quality": op3_quality,
+    "op4_packing": op4_packing,
     "op5_warc": op5_warc,
     "op8_decontaminate": op8_decontaminate,
     "op9_pii": op9_pii,

@@ -23,9 +23,9 @@ from typing import BinaryIO
 
 import pyarrow as pa
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from replylane.llm import files
 from replylane.staging import new_path, stage
 
 # Fixed values of the archive format.
@@ -157,12 +157,6 @@ def read_records(source: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
         yield fields, block
 
 
-def _open(uri: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(uri)
-
-
 def with_verdicts(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """page_id, url, html, tag, and refers_to/refers_tag where an equal payload is kept.
 
@@ -197,11 +191,9 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int =
     folder = folder or new_path(pages.sparkSession, "warc")
 
     def run(batches):
-        filesystem, root = _open(folder)
+        filesystem, root = files.at(folder)
         filesystem.create_dir(root, recursive=True)
-        context = TaskContext.get()
-        stem = f"{context.partitionId():06d}-{context.taskAttemptId()}"
-        writer, done = None, []
+        stem, writer, done = files.attempt_stem(), None, []
 
         def finish():
             writer.close()
@@ -241,7 +233,7 @@ def read_archives(listing: DataFrame) -> DataFrame:
     }
 
     def rows(path: str):
-        filesystem, name = _open(path)
+        filesystem, name = files.at(path)
         with filesystem.open_input_stream(name) as source:
             for fields, block in read_records(source):
                 head, _, payload = block.partition(b"\r\n\r\n")
@@ -274,8 +266,8 @@ def read_archives(listing: DataFrame) -> DataFrame:
             [pa.array(v, t) for v, t in zip(values, columns.values())], list(columns)
         )
 
-    files = max(1, listing.count())
-    return listing.select("path").repartition(files).mapInArrow(
+    count = max(1, listing.count())
+    return listing.select("path").repartition(count).mapInArrow(
         run, "page_id long, record_type string, url string, payload_bytes long, "
         "payload_digest string, refers_to long"
     )
