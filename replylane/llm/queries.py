@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from replylane.llm import decontam, packing, pii, quality, quality_rules, toxicity, warc
+from replylane.llm import decontam, mixing, packing, pii, quality, quality_rules, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,78 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(warc.write_archives(_table(spark, sf_dir, "pages")))
 
 
+MIX = mixing.Target(
+    domains={"d0": 2, "d1": 1}, languages={"en": 4, "de": 2, "fr": 2, "es": 1}
+)
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chosen documents by epoch; their texts are left out of the result."""
+    return mixing.mix(_table(spark, sf_dir, "documents"), MIX).select(
+        "doc_id", "domain", "lang", "source", "epoch", "n_tokens"
+    )
+
+
+OP7_SQL = """
+WITH d AS (
+  SELECT doc_id, lang, source, coalesce(lang, '') AS l, coalesce(source, '') AS s,
+    CASE WHEN substr(md5(coalesce(source, '')), 1, 1) < '8' THEN 'd0' ELSE 'd1' END AS domain,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\f\r]+')) AS BIGINT) AS n_tokens
+  FROM documents
+), s0 AS (
+  SELECT domain, l, s, CAST(sum(n_tokens) AS BIGINT) AS tokens, CAST(2 * sum(n_tokens) AS BIGINT) AS cap
+  FROM d GROUP BY ALL
+), l0 AS (SELECT domain, l, CAST(sum(cap) AS BIGINT) AS cap FROM s0 GROUP BY ALL),
+d0 AS (
+  SELECT domain, CAST(sum(cap) AS BIGINT) AS cap, CASE domain WHEN 'd0' THEN 2 ELSE 1 END AS w,
+    (SELECT CAST(sum(tokens) AS BIGINT) FROM s0) AS total
+  FROM l0 GROUP BY domain
+), d1 AS (
+  SELECT *, cap <= w * CAST(total - coalesce(sum(cap) OVER (ORDER BY cap / w, domain
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE)
+    / sum(w) OVER (ORDER BY cap / w, domain ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS f
+  FROM d0
+), d2 AS (
+  SELECT domain, CAST(CASE WHEN f THEN cap ELSE floor(CAST(total
+      - coalesce(sum(cap) FILTER (WHERE f) OVER (), 0) AS DOUBLE)
+    / sum(w) FILTER (WHERE NOT f) OVER () * w) END AS BIGINT) AS budget FROM d1
+), l1 AS (
+  SELECT l0.*, budget AS total,
+    CASE l WHEN 'en' THEN 4 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 ELSE 1 END AS w
+  FROM l0 JOIN d2 USING (domain)
+), l2 AS (
+  SELECT *, cap <= w * CAST(total - coalesce(sum(cap) OVER (PARTITION BY domain ORDER BY cap / w, l
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE)
+    / sum(w) OVER (PARTITION BY domain ORDER BY cap / w, l
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS f
+  FROM l1
+), l3 AS (
+  SELECT domain, l, CAST(CASE WHEN f THEN cap ELSE floor(CAST(total
+      - coalesce(sum(cap) FILTER (WHERE f) OVER (PARTITION BY domain), 0) AS DOUBLE)
+    / sum(w) FILTER (WHERE NOT f) OVER (PARTITION BY domain) * w) END AS BIGINT) AS budget FROM l2
+), s1 AS (SELECT s0.*, budget AS total FROM s0 JOIN l3 USING (domain, l)), s2 AS (
+  SELECT *, cap <= CAST(total - coalesce(sum(cap) OVER (PARTITION BY domain, l ORDER BY cap, s
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE)
+    / count(*) OVER (PARTITION BY domain, l ORDER BY cap, s
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS f
+  FROM s1
+), s3 AS (
+  SELECT domain, l, s, tokens, CAST(CASE WHEN f THEN cap ELSE floor(CAST(total
+      - coalesce(sum(cap) FILTER (WHERE f) OVER (PARTITION BY domain, l), 0) AS DOUBLE)
+    / count(*) FILTER (WHERE NOT f) OVER (PARTITION BY domain, l)) END AS BIGINT) AS budget FROM s2
+), k AS (
+  SELECT d.*, budget // tokens AS whole, budget % tokens AS rest,
+    md5('7:' || (budget // tokens + 1) || ':' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key
+  FROM d JOIN s3 USING (domain, l, s) WHERE tokens > 0
+), r AS (
+  SELECT *, whole + CAST(sum(n_tokens) OVER (PARTITION BY domain, l, s ORDER BY key
+    ROWS UNBOUNDED PRECEDING) <= rest AS INTEGER) AS copies FROM k
+)
+SELECT doc_id, domain, lang, source, CAST(unnest(range(1, copies + 1)) AS BIGINT) AS epoch, n_tokens
+FROM r
+"""
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Matches (doc_id, item_id, start, end, distance); documents without one have no row."""
     return decontam.find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -51,9 +123,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op4_packing": op4_packing,
     "op5_warc": op5_warc,
+    "op7_mixing": op7_mixing,
     "op8_decontaminate": op8_decontaminate,
     "op9_pii": op9_pii,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op7_mixing": OP7_SQL}
