@@ -6,13 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from replylane.llm import decontam, mixing, packing, pii, quality, quality_rules, toxicity, warc
+from replylane.llm import (
+    decontam, mixing, ngram_join, packing, pii, quality, quality_rules, toxicity, warc,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: its class and its number of links."""
+    found = ngram_join.find_classes(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links")
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     return toxicity.score(documents, toxicity.train(documents, _table(spark, sf_dir, "labels")))
@@ -119,6 +127,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_toxicity": op2_toxicity,
     "op3_quality": op3_quality,
     "op4_packing": op4_packing,
