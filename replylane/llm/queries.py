@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from replylane.llm import (
-    decontam, mixing, ngram_join, packing, pii, quality, quality_rules, toxicity, warc,
+    decontam, line_dedup, mixing, ngram_join, packing, pii, quality, quality_rules, toxicity, warc,
 )
 
 
@@ -39,6 +39,48 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(warc.write_archives(_table(spark, sf_dir, "pages")))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document the number of its lines, of those removed, and the numbers of those kept."""
+    found = line_dedup.kept_lines(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.col("n_lines").cast("long").alias("n_lines"),
+        (F.col("n_worded") - F.size("kept")).cast("long").alias("n_removed"),
+        F.array_join("kept", ",").alias("kept"),
+    )
+
+
+OP6_SQL = """
+WITH l AS (
+  SELECT doc_id, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i,
+    unnest(string_split(coalesce(text, ''), chr(10))) AS line
+  FROM documents
+), w AS (
+  SELECT doc_id, i, list_sort(list_distinct(list_filter(
+    regexp_split_to_array(line, '[ \t\x0B\f\r]+'), lambda x: x <> ''))) AS words FROM l
+), s AS (
+  SELECT words, len(words) AS n, min((doc_id, i)) AS place, row_number() OVER () AS id
+  FROM w WHERE len(words) > 0 GROUP BY words
+), t AS (SELECT id, n, place, unnest(words) AS word FROM s WHERE n >= 4),
+f AS (SELECT word, count(*) AS df FROM t GROUP BY word),
+p AS (
+  SELECT * FROM t JOIN f USING (word)
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY df, word) <= n - CAST(ceil(n * 4 / 5.0) AS BIGINT) + 1
+), c AS (
+  SELECT DISTINCT a.id AS a, b.id AS b FROM p a JOIN p b USING (word)
+  WHERE a.place < b.place AND least(a.n, b.n) * 5 >= greatest(a.n, b.n) * 4
+), gone AS (
+  SELECT DISTINCT c.b FROM c JOIN s x ON x.id = c.a JOIN s y ON y.id = c.b
+  WHERE len(list_intersect(x.words, y.words)) * 9 >= (x.n + y.n) * 4
+), k AS (
+  SELECT place[1] AS doc_id, string_agg(CAST(place[2] AS VARCHAR), ',' ORDER BY place[2]) AS kept,
+    count(*) AS n_kept
+  FROM s WHERE id NOT IN (SELECT b FROM gone) GROUP BY 1
+), d AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE len(words) > 0) AS n FROM w GROUP BY 1)
+SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+  coalesce(kept, '') AS kept
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
 MIX = mixing.Target(
     domains={"d0": 2, "d1": 1}, languages={"en": 4, "de": 2, "fr": 2, "es": 1}
 )
@@ -132,10 +174,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op4_packing": op4_packing,
     "op5_warc": op5_warc,
+    "op6_line_dedup": op6_line_dedup,
     "op7_mixing": op7_mixing,
     "op8_decontaminate": op8_decontaminate,
     "op9_pii": op9_pii,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {"op7_mixing": OP7_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op6_line_dedup": OP6_SQL,
+    "op7_mixing": OP7_SQL,
+}
