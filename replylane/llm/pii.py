@@ -17,9 +17,12 @@ import re
 import unicodedata
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from replylane.llm.words import Texts, chunks
+
 KINDS = ("email", "ip", "card", "phone")
 MIN_SPELLED = 7
 
@@ -61,6 +64,7 @@ _BARE_AT = re.compile(
     r"(?=[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}[ \t]{1,2}dot[ \t]{1,2}[A-Za-z0-9])",
     re.IGNORECASE,
 )
+_DOT = re.compile(r"[ \t](?:dot|Dot|DOT)[ \t]")
 _BARE_DOT = re.compile(r"(?<=[A-Za-z0-9])[ \t]{1,2}dot[ \t]{1,2}(?=[A-Za-z0-9])", re.IGNORECASE)
 
 
@@ -162,16 +166,19 @@ def _spell(rewritten: Rewritten) -> list[tuple[int, int, str]]:
     return edits
 
 
-def rewrite(text: str) -> Rewritten | None:
-    """The text without disguises; None where nothing looks like one."""
+def rewrite(text: str, spelled: bool = True) -> Rewritten | None:
+    """The text without disguises; None where nothing looks like one.
+
+    ``spelled`` tells whether the text can hold a run of spelled digits.
+    """
     out = Rewritten(text)
     if not text.isascii():
         table, any_of = _characters()
-        out.apply([(m.start(), m.end(), table[m[0]]) for m in any_of.finditer(text)])
+        if not table.keys().isdisjoint(set(text)):
+            out.apply([(m.start(), m.end(), table[m[0]]) for m in any_of.finditer(text)])
     if any(c in out.text for c in "[({<"):
         out.apply([(m.start(), m.end(), _SIGN[m[1].lower()]) for m in _BRACKETED.finditer(out.text)])
-    lower = out.text.lower()
-    if len(lower) == len(out.text) and " dot " in lower.replace("\t", " "):
+    if _DOT.search(out.text):
         out.apply([(m.start(), m.end(), "@") for m in _BARE_AT.finditer(out.text)])
         # a bare dot belongs to an address only after its at sign, or between numbers
         edits, reach = [], -1
@@ -184,14 +191,16 @@ def rewrite(text: str) -> Rewritten | None:
                 edits.append((m.start(), m.end(), "."))
                 reach = m.end()
         out.apply(edits)
-    if sum(lower.count(word) for word in DIGIT_OF) >= 2:
+    if spelled:
         out.apply(_spell(out))
     return out if 1 in out.disguised else None
 
 
-def added(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+def added(
+    text: str, base: list[tuple[str, int, int]], spelled: bool = True
+) -> list[tuple[str, int, int]]:
     """Spans found only behind disguises, in source characters."""
-    out = rewrite(text)
+    out = rewrite(text, spelled)
     if out is None:
         return []
     spans = []
@@ -203,15 +212,48 @@ def added(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, i
     return spans
 
 
+_SPELLING = np.arange(256, dtype=np.uint8)
+_SPELLING[65:91] += 32
+_SPELLING[[9, 45, 46]] = 32
+
+
+@lru_cache(maxsize=1)
+def _item_hashes() -> np.ndarray:
+    words = [*DIGIT_OF, PLUS, *"0123456789"]
+    _, _, texts = next(chunks(pa.array([" ".join(words)])))
+    return np.unique(texts.word_hashes())
+
+
+def may_spell(column: pa.Array) -> np.ndarray:
+    """Texts with ``MIN_SPELLED`` words in a row that each spell a digit.
+
+    A quick test before the pattern: words end at blanks, hyphens and full stops, and of the
+    first run of that many words two may be unlike, as the first and last can touch other signs.
+    """
+    out = np.zeros(len(column), bool)
+    for first, _, texts in chunks(column):
+        texts = Texts(_SPELLING[texts.data], texts.offsets)
+        hashes = texts.word_hashes()
+        if len(hashes) < MIN_SPELLED:
+            continue
+        known = _item_hashes()
+        place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+        total = np.append(0, np.cumsum(known[place] == hashes))
+        runs = np.flatnonzero(total[MIN_SPELLED:] - total[:-MIN_SPELLED] >= MIN_SPELLED - 2)
+        out[first + np.unique(texts.text_of[runs])] = True
+        out[first + np.unique(texts.text_of[runs + MIN_SPELLED - 1])] = True
+    return out
+
+
 def _join(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-def find(text: str | None) -> tuple[list[int], str, str]:
+def find(text: str | None, spelled: bool = True) -> tuple[list[int], str, str]:
     """Base counts by kind, the digest of the base spans, and all spans."""
     text = text or ""
     base = detect(text)
-    spans = sorted([*base, *added(text, base)], key=lambda s: (KINDS.index(s[0]), s[1]))
+    spans = sorted([*base, *added(text, base, spelled)], key=lambda s: (KINDS.index(s[0]), s[1]))
     counts = [sum(k == kind for k, _, _ in base) for kind in KINDS]
     return counts, hashlib.sha256(_join(base).encode()).hexdigest(), _join(spans)
 
@@ -220,7 +262,8 @@ def detect_personal_data(documents: DataFrame) -> DataFrame:
     """doc_id, base counts, base_sha256 and all spans, one row per document."""
     def run(batches):
         for batch in batches:
-            rows = [find(text.as_py()) for text in batch.column("text")]
+            column = batch.column("text")
+            rows = list(map(find, column.to_pylist(), may_spell(column).tolist()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"),
                  *[pa.array([r[0][i] for r in rows], pa.int64()) for i in range(len(KINDS))],
