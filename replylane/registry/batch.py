@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from replylane.functions import drafting, rules as rule_functions, text
@@ -10,7 +12,7 @@ from replylane.operators import golden, judging, metrics, retrieval, sampling, t
 from replylane.operators.pairs import clean_pairs, reply_pairs
 from replylane.operators.shape import keep_first
 from replylane.packs import airline
-from replylane.plans import evaluation, triage as triage_plan
+from replylane.plans import evaluation, training, triage as triage_plan
 from replylane.registry import inputs
 from replylane.sources import messages as sources
 from replylane.schemas import JUDGE_DIMENSIONS
@@ -208,9 +210,8 @@ def first_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def exclude_golden(spark: SparkSession, sf: str) -> DataFrame:
-    labelled = inputs.labelled_pairs(spark, sf)
-    template = golden.golden_template(labelled, inputs.TEST_QUOTAS)
-    return sampling.exclude_ids(labelled, template).select("pair_id", "weak_intent")
+    rows = inputs.language_rows(spark, sf)
+    return sampling.exclude_ids(rows, inputs.language_golden(spark, sf)).select("pair_id", "weak_intent")
 
 
 # --- golden set -----------------------------------------------------------------------
@@ -244,9 +245,8 @@ def missing_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stale_labels(spark: SparkSession, sf: str) -> DataFrame:
-    """Gold labels, of all pairs, that no row of a small template asks for."""
-    template = golden.golden_template(inputs.labelled_pairs(spark, sf), inputs.TEST_QUOTAS)
-    return golden.stale_labels(template, inputs.gold_labels(spark, sf))
+    """Gold labels, of all documents, that no row of the template asks for."""
+    return golden.stale_labels(inputs.language_golden(spark, sf), inputs.language_rows(spark, sf))
 
 
 def review_overrides(spark: SparkSession, sf: str) -> DataFrame:
@@ -480,7 +480,114 @@ def judge_kappa(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def train_model(spark: SparkSession, sf: str) -> DataFrame:
-    return inputs.trained(spark, sf)[1]
+    """The rows each label of the fitted language model was trained and validated on."""
+    split = inputs.language_training(spark, sf)
+    held = F.col("is_validation").cast("long")
+    sizes = split.groupBy(F.col("weak_intent").alias("label")).agg(
+        F.sum(1 - held).alias("n_train"), F.sum(held).alias("n_validation")
+    )
+    labels = F.array(*[F.lit(x) for x in inputs.language_model(spark, sf).labels])
+    return sizes.where(F.array_contains(labels, F.col("label")) | (F.col("n_train") == 0))
+
+
+def model_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    """The metadata record, written and read back."""
+    model, split = inputs.language_model(spark, sf), inputs.language_training(spark, sf)
+    path = new_path(spark, "metadata")
+    sources.write_metadata(training.training_metadata(model, split, "customer_clean"), path)
+    done = spark.read.json(path)
+    sound = F.col("held_out_weak_val_accuracy").between(0.0, 1.0)
+    return done.select("n_train", sound.alias("accuracy_in_range"))
+
+
+def model_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Golden rows on which a saved and loaded model differs from the one in memory."""
+    model, path = inputs.language_model(spark, sf), new_path(spark, "model")
+    model.save(spark, path)
+    rows = inputs.language_golden(spark, sf).select("pair_id", "customer_clean")
+    loaded = training.IntentModel.load(spark, path).classify(rows, "customer_clean")
+    kept = model.classify(rows, "customer_clean")
+    both = kept.select("pair_id", "intent", "confidence").exceptAll(
+        loaded.select("pair_id", "intent", "confidence")
+    ).groupBy("pair_id").agg(F.count("*").alias("n"))
+    return rows.join(both, "pair_id", "left").select("pair_id", F.coalesce("n", F.lit(0)).alias("differs"))
+
+
+def _scored_terms(model: training.IntentModel, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pair_id, at, value) of the vectors of rows, and (label, at, weight) of the model."""
+    vectors = model.vectors.with_vector(rows, "customer_clean", "v")
+    spark = rows.sparkSession
+    weights = model.regression.coefficientMatrix.toArray()
+    table = pa.table({
+        "label": pa.array([x for x in model.labels for _ in range(weights.shape[1])]),
+        "at": pa.array(list(range(weights.shape[1])) * len(model.labels), pa.int32()),
+        "weight": pa.array(weights.ravel()),
+    })
+    entries = F.filter(
+        F.transform(vector_to_array("v"), lambda x, i: F.struct(i.alias("at"), x.alias("value"))),
+        lambda e: e["value"] != 0,
+    )
+    terms = vectors.select("pair_id", F.explode(entries).alias("e")).select("pair_id", "e.*")
+    return terms, spark.createDataFrame(table)
+
+
+def score_agreement(spark: SparkSession, sf: str) -> DataFrame:
+    """Gap between the model's confidence and a softmax of sums taken by joins, golden rows."""
+    model = inputs.language_model(spark, sf)
+    rows = inputs.language_golden(spark, sf).select("pair_id", "customer_clean")
+    terms, weights = _scored_terms(model, rows)
+    sums = terms.join(weights, "at").groupBy("pair_id", "label").agg(
+        F.sum(F.col("value") * F.col("weight")).alias("score")
+    )
+    offsets = zip(model.labels, model.regression.interceptVector.toArray().tolist())
+    every = rows.select("pair_id", F.explode(F.array(*[
+        F.struct(F.lit(label).alias("label"), F.lit(value).alias("intercept")) for label, value in offsets
+    ])).alias("o")).select("pair_id", "o.*")
+    scores = every.join(sums, ["pair_id", "label"], "left").withColumn(
+        "score", F.coalesce("score", F.lit(0.0)) + F.col("intercept")
+    )
+    top = scores.groupBy("pair_id").agg(
+        (F.exp(F.max("score")) / F.sum(F.exp("score"))).alias("p")
+    )
+    scored = model.classify(rows, "customer_clean").select("pair_id", "confidence")
+    gap = F.round(F.abs(F.col("confidence") - F.col("p")), 6)
+    return scored.join(top, "pair_id").select("pair_id", gap.alias("gap"))
+
+
+def model_gradient(spark: SparkSession, sf: str) -> DataFrame:
+    """Largest entry of the loss gradient of each label, over the inverse penalty and weights.
+
+    The penalised loss is strictly convex in the coefficients, so a gradient that vanishes
+    proves the fit. It is taken from the model's coefficients and the vectors by joins.
+    """
+    return gradient_of(inputs.language_model(spark, sf),
+                       inputs.language_training(spark, sf).where(~F.col("is_validation")))
+
+
+def gradient_of(model: training.IntentModel, rows: DataFrame, strength: float = 2.0) -> DataFrame:
+    sizes = rows.groupBy("weak_intent").agg(F.count("*").alias("n"))
+    total, labels = rows.count(), len(model.labels)
+    scored = model.regression.transform(model.vectors.with_vector(rows, "customer_clean", "features"))
+    names = F.array(*[F.lit(x) for x in model.labels])
+    per_label = F.transform(
+        vector_to_array("probability"),
+        lambda p, i: F.struct(F.element_at(names, i + 1).alias("label"), p.alias("p")),
+    )
+    weight = F.lit(float(total)) / (labels * F.col("n"))
+    errors = scored.join(F.broadcast(sizes), "weak_intent").select(
+        "pair_id", weight.alias("w"), "weak_intent", F.explode(per_label).alias("e")
+    ).select("pair_id", "e.label", (
+        F.col("w") * (F.col("e.p") - (F.col("e.label") == F.col("weak_intent")).cast("double"))
+    ).alias("error"))
+    terms, weights = _scored_terms(model, rows)
+    slopes = terms.join(errors, "pair_id").groupBy("label", "at").agg(
+        F.sum(F.col("value") * F.col("error")).alias("slope")
+    )
+    entry = (F.coalesce("slope", F.lit(0.0)) + F.col("weight") / strength) / total
+    sized = weights.join(slopes, ["label", "at"], "left").select("label", F.abs(entry).alias("size"))
+    offsets = errors.groupBy("label").agg((F.abs(F.sum("error")) / total).alias("size"))
+    worst = sized.unionByName(offsets).groupBy("label").agg(F.max("size").alias("size"))
+    return worst.select("label", F.round("size", 3).alias("gap"))
 
 
 def classify_scores(spark: SparkSession, sf: str) -> DataFrame:
@@ -494,9 +601,13 @@ def top_terms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def evaluate_intents(spark: SparkSession, sf: str) -> DataFrame:
-    """Majority, rules and classifier against the gold labels of every pair."""
-    result = _evaluation(spark, sf)
-    return result.intents.select("system", _r("accuracy"), _r("macro_f1"))
+    """Majority, rules and classifier against the true language of the held-out rows."""
+    return _evaluation(spark, sf).intents.select("system", _r("accuracy"), _r("macro_f1"))
+
+
+def evaluate_baselines(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows of the evaluation that need no classifier."""
+    return evaluate_intents(spark, sf).where("system <> 'trained_classifier'")
 
 
 def evaluate_escalations(spark: SparkSession, sf: str) -> DataFrame:
@@ -504,11 +615,27 @@ def evaluate_escalations(spark: SparkSession, sf: str) -> DataFrame:
     return result.escalations.select("system", _r("precision"), _r("recall"), _r("f1"))
 
 
+def model_report(spark: SparkSession, sf: str) -> DataFrame:
+    report = _evaluation(spark, sf).report
+    return report.select("label", _r("precision"), _r("recall"), _r("f1"), "support")
+
+
+def model_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    return _evaluation(spark, sf).matrix
+
+
+def model_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    return _evaluation(spark, sf).predictions.select(
+        "pair_id", "gold_intent", "pred_intent", _r("pred_confidence"), "pred_escalate",
+        "intent_correct", "escalate_correct",
+    )
+
+
 def _evaluation(spark: SparkSession, sf: str) -> evaluation.Evaluation:
-    labels = inputs.gold_labels(spark, sf)
-    gold = inputs.pairs(spark, sf).select("pair_id", "customer_clean").join(labels, "pair_id")
-    classified = inputs.model(spark, sf).classify(gold, "customer_clean")
-    return evaluation.evaluate(classified, inputs.RULES.label(F.col("customer_clean")), inputs.DESK.policy)
+    gold = inputs.language_golden(spark, sf).drop("weak_intent")
+    classified = inputs.language_model(spark, sf).classify(gold, "customer_clean")
+    rules = inputs.LANGUAGE_RULES.label(F.col("customer_clean"))
+    return evaluation.evaluate(classified, rules, inputs.LANGUAGE_POLICY)
 
 
 def triage_model(spark: SparkSession, sf: str) -> DataFrame:
@@ -578,7 +705,9 @@ QUERIES = {
         tfidf_vocab, tfidf_weights, retrieve_topk, retrieve_fallback,
         template_reply, triage, grounding_prompt, judge_prompt, external_replies,
         judge_parse, judge_means, judge_vs_human, judge_kappa,
-        train_model, classify_scores, top_terms, evaluate_intents, evaluate_escalations,
+        train_model, model_metadata, model_round_trip, score_agreement, model_gradient,
+        classify_scores, top_terms, evaluate_intents, evaluate_baselines, evaluate_escalations,
+        model_report, model_matrix, model_predictions,
         triage_model, stream_decisions, stream_triage,
     )
 }

@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from replylane.functions.rules import RuleSet
+from replylane.functions.decision import EscalationPolicy
+from replylane.functions.rules import FlagSet, RuleSet
 from replylane.functions.text import clean_text
-from replylane.operators.golden import golden_template
 from replylane.operators.pairs import build_pairs
 from replylane.operators.retrieval import CaseIndex
+from replylane.operators.sampling import exclude_ids, quota_sample, stratified_split
 from replylane.packs import airline
-from replylane.plans.training import IntentModel, train_on_rules
+from replylane.plans.training import IntentModel, fit_intent_model, train_on_rules
 from replylane.plans.triage import Desk
 from replylane.session import pin_runtime
 from replylane.staging import stage
@@ -79,8 +80,10 @@ LANGUAGE_RULES = RuleSet(
 INSULTS = (("insult", r"\b(disgust\w*|pathetic|idiot|stupid)\b"),)
 LANGUAGES = ("en", "fr", "de", "es", "unknown")
 
-TEST_QUOTAS = {intent: 2 for intent in airline.INTENTS}
+#: golden rows per language; documents are many enough to hold out all of them
+LANGUAGE_QUOTAS = {"en": 25, "fr": 22, "de": 22, "es": 22, "unknown": 20}
 RULES = airline.rules(LOYALTY)
+LANGUAGE_POLICY = EscalationPolicy(FlagSet(INSULTS), (), (), min_confidence=0.0)
 DESK = Desk(airline.policy(), airline.templates(LOYALTY), airline.DEFAULT_INTENT, BRAND)
 
 _built: dict[tuple[str, str, str], object] = {}
@@ -95,14 +98,7 @@ def _once(spark: SparkSession, sf_dir: str, name: str, build):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; one that comes in fewer files than there are cores is spread out.
-
-    The test tables are single files with a single row group, hence a single task. A table
-    of many files is scanned as it is.
-    """
-    scan = pin_runtime(spark).read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return scan if len(scan.inputFiles()) >= cores else scan.repartition(cores)
+    return pin_runtime(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def raw_rows(turns: DataFrame) -> DataFrame:
@@ -196,13 +192,54 @@ def gold_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model(spark: SparkSession, sf_dir: str) -> IntentModel:
-    return _once(spark, sf_dir, "model", lambda: trained(spark, sf_dir)[0])
+    """The triage classifier. It is never scored on these pairs, so none is held out."""
+    def build() -> IntentModel:
+        labelled = labelled_pairs(spark, sf_dir)
+        return train_on_rules(labelled.drop("weak_intent"), RULES, labelled.limit(0))[0]
+
+    return _once(spark, sf_dir, "model", build)
+
+
+def language_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as rows to classify: the weak label is the rules' guess, the gold one ``lang``."""
+    def build() -> DataFrame:
+        docs = table(spark, sf_dir, "documents")
+        toxic = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+        decision = F.when(F.col("toxic") == 1, "escalate").otherwise("auto")
+        rows = docs.join(toxic, "doc_id", "left").select(
+            F.col("doc_id").cast("string").alias("pair_id"), F.col("text").alias("customer_clean"),
+            LANGUAGE_RULES.label(F.col("text")).alias("weak_intent"),
+            F.col("lang").alias("gold_intent"), decision.alias("gold_escalate"),
+        )
+        return stage(rows, "languages")
+
+    return _once(pin_runtime(spark), sf_dir, "languages", build)
+
+
+def language_golden(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The held-out rows: a full quota of each language, as the rules see it."""
+    build = lambda: stage(
+        quota_sample(language_rows(spark, sf_dir), "weak_intent", LANGUAGE_QUOTAS), "golden"
+    )
+    return _once(spark, sf_dir, "golden", build)
+
+
+def language_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows outside the golden set, with ``is_validation``."""
+    def build() -> DataFrame:
+        rows = language_rows(spark, sf_dir).select("pair_id", "customer_clean", "weak_intent")
+        kept = stage(exclude_ids(rows, language_golden(spark, sf_dir)), "kept")
+        return stage(stratified_split(kept, "weak_intent"), "split")
+
+    return _once(spark, sf_dir, "split", build)
+
 
+def language_model(spark: SparkSession, sf_dir: str) -> IntentModel:
+    def build() -> IntentModel:
+        rows = language_training(spark, sf_dir).where(~F.col("is_validation"))
+        return fit_intent_model(rows, "customer_clean", "weak_intent")
 
-def trained(spark: SparkSession, sf_dir: str) -> tuple[IntentModel, DataFrame]:
-    labelled = labelled_pairs(spark, sf_dir)
-    golden = golden_template(labelled, TEST_QUOTAS)
-    return train_on_rules(labelled.drop("weak_intent"), RULES, golden, max_iter=200)
+    return _once(spark, sf_dir, "language_model", build)
 
 
 def documents_by_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -158,6 +158,14 @@ GUESSED = f"""guessed AS (
   SELECT doc_id, lang, source, {_label(_ascii('text'), inputs.LANGUAGE_RULES)} AS guess
   FROM documents)"""
 
+LANGUAGE_GOLDEN = f"""{GUESSED}, labelled AS (
+  SELECT CAST(g.doc_id AS VARCHAR) AS pair_id, g.doc_id, g.lang, d.text, guess AS weak_intent
+  FROM guessed g JOIN documents d USING (doc_id)), {_quota(inputs.LANGUAGE_QUOTAS)}"""
+
+LANGUAGE_KEPT = f"""whole AS (WITH {LANGUAGE_GOLDEN}
+  SELECT pair_id, weak_intent FROM labelled WHERE pair_id NOT IN (SELECT pair_id FROM template)),
+labelled AS (SELECT * FROM whole)"""
+
 PER_LABEL = """labels_seen AS (SELECT truth AS label FROM p UNION SELECT pred FROM p),
 per_label AS (
   SELECT label, hits, support, predicted,
@@ -285,7 +293,7 @@ WHERE place <= round_even(100.0::DOUBLE / total * size, 0)"""),
                               "SELECT pair_id, weak_intent FROM template"),
         "train_split": _with(LABELLED, _split()),
         "first_rows": _with(PAIRS, "SELECT pair_id, customer_clean FROM pairs ORDER BY pair_id LIMIT 30"),
-        "exclude_golden": _with(f"{LABELLED}, {_quota(inputs.TEST_QUOTAS)}",
+        "exclude_golden": _with(LANGUAGE_GOLDEN,
                                 "SELECT pair_id, weak_intent FROM labelled WHERE NOT EXISTS ("
                                 "SELECT 1 FROM template t WHERE t.pair_id = labelled.pair_id)"),
         "golden_template": _with(f"{LABELLED}, {_quota(airline.QUOTAS)}",
@@ -295,8 +303,33 @@ WHERE place <= round_even(100.0::DOUBLE / total * size, 0)"""),
                             "'first_pass' AS labeled_by FROM template JOIN gold USING (pair_id)"),
         "missing_labels": _with(TEMPLATE, "SELECT pair_id FROM template JOIN gold USING (pair_id) "
                                 "WHERE gold_escalate <> 'escalate'"),
-        "stale_labels": _with(f"{GOLD}, {_quota(inputs.TEST_QUOTAS)}", "SELECT pair_id FROM gold WHERE pair_id NOT IN "
+        "stale_labels": _with(LANGUAGE_GOLDEN, "SELECT pair_id FROM labelled WHERE pair_id NOT IN "
                               "(SELECT pair_id FROM template)"),
+        "train_model": f"""WITH split AS (WITH {LANGUAGE_KEPT}
+{_split()})
+SELECT weak_intent AS label, CAST(count(*) FILTER (WHERE NOT is_validation) AS BIGINT) AS n_train,
+  CAST(count(*) FILTER (WHERE is_validation) AS BIGINT) AS n_validation
+FROM split GROUP BY 1""",
+        "model_metadata": f"""WITH {LANGUAGE_KEPT}
+SELECT CAST(count(*) - ceil(0.1::DOUBLE * count(*)) AS BIGINT) AS n_train, true AS accuracy_in_range
+FROM labelled""",
+        "model_round_trip": _with(LANGUAGE_GOLDEN, "SELECT pair_id, CAST(0 AS BIGINT) AS differs FROM template"),
+        "score_agreement": _with(LANGUAGE_GOLDEN, "SELECT pair_id, 0.0::DOUBLE AS gap FROM template"),
+        "model_gradient": f"""WITH split AS (WITH {LANGUAGE_KEPT}
+{_split()})
+SELECT DISTINCT weak_intent AS label, 0.0::DOUBLE AS gap FROM split WHERE NOT is_validation""",
+        "evaluate_baselines": " UNION ALL ".join(
+            f"SELECT * FROM (WITH {LANGUAGE_GOLDEN}, p AS (SELECT lang AS truth, {pred} AS pred FROM template), "
+            f"{PER_LABEL} SELECT {_q(name)} AS system, (SELECT round(avg((truth = pred)::INT), 6) FROM p) "
+            "AS accuracy, (SELECT round(avg(f1), 6) FROM per_label) AS macro_f1)"
+            for name, pred in (
+                ("trivial_majority_class",
+                 "(SELECT lang FROM template GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)"),
+                ("simple_rule_baseline", "weak_intent"))
+        ),
+        "evaluate_escalations": _escalation_metrics(
+            LANGUAGE_GOLDEN + ", ", "(SELECT t.text, coalesce(l.toxic, 0) AS toxic FROM template t LEFT JOIN "
+            "(SELECT doc_id, max(toxic) AS toxic FROM labels GROUP BY 1) l USING (doc_id))"),
         "review_overrides": _with(GOLD, "SELECT pair_id, gold_intent, CASE WHEN gold_intent = "
                                   "'service_complaint' THEN 'escalate' ELSE gold_escalate END AS gold_escalate, "
                                   "CASE WHEN gold_intent = 'service_complaint' THEN 'policy' ELSE gold_reason END "
@@ -409,14 +442,16 @@ UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support),
   CAST(sum(support) AS BIGINT) FROM per_label"""
 
 
-def _escalation_metrics() -> str:
+def _escalation_metrics(
+    ctes: str = "", source: str = "documents JOIN labels USING (doc_id)"
+) -> str:
     flagged = _hit(_ascii("text"), [p for _, p in inputs.INSULTS])
     parts = " UNION ALL ".join(
         f"SELECT {_q(name)} AS system, toxic, {pred} AS pred FROM d"
         for name, pred in (("trivial_always_escalate", "1"), ("trivial_never_escalate", "0"),
                            ("rule_engine", "flagged"))
     )
-    return f"""WITH d AS (SELECT toxic, {flagged}::INT AS flagged FROM documents JOIN labels USING (doc_id)),
+    return f"""WITH {ctes}d AS (SELECT toxic, {flagged}::INT AS flagged FROM {source}),
 s AS ({parts}), c AS (SELECT system, sum(toxic * pred)::DOUBLE AS hit, sum(pred)::DOUBLE AS claimed,
   sum(toxic)::DOUBLE AS positives FROM s GROUP BY 1)
 SELECT system, CASE WHEN claimed = 0 THEN 0 ELSE round(hit / claimed, 6) END AS precision,
