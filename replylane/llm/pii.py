@@ -3,7 +3,7 @@
 Two layers. The base layer reads the text as it is. The second runs transducers that rewrite
 look-alike characters, spelled digits and disguised "at" and "dot", keeping for every written
 character the source range it stands for; the same detectors read the rewritten text, and a
-span that holds a disguise and overlaps no base span of its kind is mapped back and added.
+span that holds a disguise and lies in no base span of its kind is mapped back and added.
 
 Defined results: a null text is an empty one and has no spans; repeated rows give repeated
 results; offsets are code points, the end exclusive; other columns are ignored. Bare words
@@ -207,7 +207,7 @@ def added(
     for kind, a, b in detect(out.text):
         if 1 in out.disguised[a:b]:
             start, end = out.begin[a], out.end[b - 1]
-            if not any(k == kind and start < e and s < end for k, s, e in base):
+            if not any(k == kind and s <= start and end <= e for k, s, e in base):
                 spans.append((kind, start, end))
     return spans
 

@@ -10,7 +10,7 @@ of each. It runs in numpy on at most ``PER_CLASS`` labelled texts of each class.
 Words are runs of letters, digits and non-ASCII characters, ASCII in lower case.
 
 Defined results: a null text is an empty one; a text without words has the score of an empty
-window; repeated rows give repeated results; other columns are ignored; without labels of
+window; repeated rows give the same result up to rounding; other columns are ignored; without labels of
 both classes every score is the rate of label 1 (0 if there are none).
 """
 

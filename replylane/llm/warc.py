@@ -8,7 +8,8 @@ lost attempt left behind is never read.
 Defined results: a null html is an empty payload; a null url leaves the target out; rows with
 one page id are records of their own, and of equal rows with the largest id one is the
 response; a null page id counts as the smallest; an archive too small to build a dictionary
-from has none; an empty table writes no archive; other columns are ignored.
+from has none; an empty table writes no archive; other columns are ignored. The pages have to
+be a table that reads the same way twice.
 """
 
 from __future__ import annotations
