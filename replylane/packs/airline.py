@@ -5,6 +5,8 @@ The name of the loyalty programme is an input, as brands differ in nothing else
 
 from __future__ import annotations
 
+import re
+
 from replylane.functions.decision import EscalationPolicy
 from replylane.functions.rules import FlagSet, RuleSet
 
@@ -139,8 +141,13 @@ TEMPLATES = {
 
 
 def rules(loyalty_program: str) -> RuleSet:
+    """The rules with the programme's name as plain text; a boundary only beside word characters."""
+    name = loyalty_program.lower()
+    before = r"\b" if re.match(r"\w", name) else ""
+    after = r"\b" if re.search(r"\w$", name) else ""
+    literal = before + "".join(re.escape(c) if c.isascii() else c for c in name) + after
     named = tuple(
-        (label, tuple(p.replace("{loyalty_program}", loyalty_program.lower()) for p in patterns))
+        (label, tuple(p.replace(r"\b{loyalty_program}\b", literal) for p in patterns))
         for label, patterns in PRIORITY
     )
     return RuleSet(named, DEFAULT_INTENT)

@@ -50,6 +50,17 @@ def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(target)
 
 
+def clear(spark: SparkSession) -> None:
+    """Remove every table this application has staged; results built on them must be written."""
+    _remove(spark, _root(spark))
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def scope(spark: SparkSession) -> Iterator[None]:
     """Tables staged inside are removed at the end, when their results have been written."""
@@ -59,7 +70,4 @@ def scope(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _scope.reset(token)
-        jvm = spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(f"{_root(spark)}/{name}")
-        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        files.delete(folder, True)
+        _remove(spark, f"{_root(spark)}/{name}")
