@@ -58,9 +58,17 @@ def collect_features(
             )
 
     picked = documents.select("doc_id", *columns).join(F.broadcast(chosen), "doc_id")
-    rows = picked.mapInArrow(run, "doc_id long, y int, vector binary").collect()
-    rows = list({r["doc_id"]: r for r in sorted(rows, key=lambda r: (r["doc_id"], bytes(r["vector"])))}.values())
-    ids = np.array([r["doc_id"] for r in rows], np.int64)
-    y = np.array([r["y"] for r in rows], np.float64)
-    x = np.stack([np.frombuffer(r["vector"], np.float16) for r in rows]).astype(np.float32) if rows else None
-    return ids, y, x
+    found = picked.mapInArrow(run, "doc_id long, y int, vector binary").toArrow()
+    ids, y = found.column("doc_id").to_numpy(), found.column("y").to_numpy()
+    if not len(ids):
+        return ids, y.astype(np.float64), None
+    # repeated ids in the order of their vectors, so that the same row stands every time
+    column = found.column("vector").combine_chunks()
+    keys = [bytes(v.as_py()[:64]) for v in column] if len(set(ids.tolist())) < len(ids) else [b""] * len(ids)
+    order = np.array(sorted(range(len(ids)), key=lambda i: (ids[i], keys[i])))
+    order = order[np.append(True, ids[order][1:] != ids[order][:-1])]
+    first = np.frombuffer(column[0].as_buffer(), np.float16)
+    x = np.empty((len(order), len(first)), np.float32)
+    for i, k in enumerate(order.tolist()):
+        x[i] = np.frombuffer(column[k].as_buffer(), np.float16)
+    return ids[order], y[order].astype(np.float64), x

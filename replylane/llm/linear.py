@@ -75,7 +75,7 @@ class Logistic:
     offset: float = 0.0
 
     def raw(self, x: np.ndarray) -> np.ndarray:
-        return x @ self.weights + self.bias
+        return (x @ self.weights.astype(x.dtype)).astype(np.float64) + self.bias
 
     def calibrated(self, raw: np.ndarray) -> np.ndarray:
         return sigmoid(self.slope * raw + self.offset)

@@ -86,9 +86,8 @@ class CoTrained:
         return a, b, sigmoid(logit(a) + logit(b) - logit(self.prior))
 
 
-def _sure(model: Logistic, x: np.ndarray, free: np.ndarray, each: int) -> tuple[np.ndarray, np.ndarray]:
+def _sure(p: np.ndarray, free: np.ndarray, each: int) -> tuple[np.ndarray, np.ndarray]:
     """The free documents a view is surest of, and the labels it gives them."""
-    p = model.calibrated(model.raw(x))
     good = free[np.argsort(-p[free], kind="stable")][:each]
     bad = free[np.argsort(p[free], kind="stable")][:each]
     good, bad = good[p[good] >= SURE], bad[p[bad] <= 1 - SURE]
@@ -96,27 +95,28 @@ def _sure(model: Logistic, x: np.ndarray, free: np.ndarray, each: int) -> tuple[
 
 
 def co_train(
-    x: np.ndarray, y: np.ndarray, pool: np.ndarray, held: np.ndarray, weight: np.ndarray,
-    rounds: int = ROUNDS,
+    x: np.ndarray, y: np.ndarray, held: np.ndarray, weight: np.ndarray, rounds: int = ROUNDS,
 ) -> CoTrained:
-    """``held`` marks the labelled rows kept for calibration, ``weight`` their true shares."""
-    views = [slice(0, linear.WIDTH), slice(linear.WIDTH, None)]
-    seen = [(x[~held], y[~held])] * 2
-    free = [np.arange(len(pool))] * 2
+    """``y`` is -1 for unlabelled rows, ``held`` marks labelled rows kept for calibration and
+    ``weight`` tells how many documents a labelled row stands for."""
+    views = [x[:, : linear.WIDTH], x[:, linear.WIDTH :]]
+    seen = [(np.flatnonzero((y >= 0) & ~held), y[(y >= 0) & ~held])] * 2
+    free = [np.flatnonzero(y < 0)] * 2
     share = weight[held] / weight[held].mean()
     for turn in range(rounds + 1):
         models = []
         for view, (rows, labels) in zip(views, seen):
-            model = linear.fit(np.ascontiguousarray(rows[:, view]), labels)
-            model.slope, model.offset = linear.platt(model.raw(x[held][:, view]), y[held], share)
+            model = linear.fit(view[rows], labels)
+            model.slope, model.offset = linear.platt(model.raw(view[held]), y[held], share)
             models.append(model)
-        if turn == rounds or not len(pool):
+        if turn == rounds or not len(free[0]) or not len(free[1]):
             break
         for giver, taker in ((0, 1), (1, 0)):
-            chosen, labels = _sure(models[giver], pool[:, views[giver]], free[taker], PER_ROUND)
+            p = models[giver].calibrated(models[giver].raw(views[giver]))
+            chosen, labels = _sure(p, free[taker], PER_ROUND)
             free[taker] = np.setdiff1d(free[taker], chosen)
             rows, known = seen[taker]
-            seen[taker] = np.concatenate([rows, pool[chosen]]), np.concatenate([known, labels])
+            seen[taker] = np.concatenate([rows, chosen]), np.concatenate([known, labels])
     return CoTrained(models[0], models[1], float((share * y[held]).sum() / share.sum()))
 
 
@@ -144,18 +144,17 @@ def train(
     if x is None:
         return _keep_all()
     has = y >= 0
-    held = mix(ids[has].astype(np.uint64)) % np.uint64(4) == 0
-    y_known = y[has]
-    if any(len(set(part)) < 2 for part in (y_known[held], y_known[~held])):
-        if len(set(y_known)) < 2:
-            return _keep_all()
-        held = np.zeros(len(y_known), bool)
-        held[[np.flatnonzero(y_known == k)[0] for k in (0, 1)]] = True
-        held = held if all((y_known[~held] == k).any() for k in (0, 1)) else np.zeros(len(y_known), bool)
-    if not held.any():
+    if set(y[has]) != {0.0, 1.0}:
         return _keep_all()
-    weight = np.where(y_known > 0, high / y_known.sum(), low / (1 - y_known).sum())
-    return co_train(x[has], y_known, x[~has], held, weight)
+    held = has & (mix(ids.astype(np.uint64)) % np.uint64(4) == 0)
+    if set(y[held]) != {0.0, 1.0} or set(y[has & ~held]) != {0.0, 1.0}:
+        # too few to set any apart but one of each label
+        held = np.zeros(len(y), bool)
+        held[[np.flatnonzero(y == k)[0] for k in (0, 1)]] = True
+        if set(y[has & ~held]) != {0.0, 1.0}:
+            return _keep_all()
+    weight = np.where(y > 0, high / (y > 0).sum(), low / (y == 0).sum())
+    return co_train(x, y, held, weight)
 
 
 def score(documents: DataFrame, model: CoTrained, keep_at: float = KEEP_AT) -> DataFrame:
