@@ -16,8 +16,8 @@ def reply_pairs(
 ) -> DataFrame:
     """Every brand message whose parent exists and is inbound, beside that parent.
 
-    Of messages sharing an id the lowest ``ordinal`` stands; only then is the parent tested
-    for being inbound. With ``first_turn_only`` the parent must itself open the thread, and
+    Of messages sharing an id the lowest ``ordinal``, which no two of them share, stands; only
+    then is the parent tested for being inbound. With ``first_turn_only`` the parent must itself open the thread, and
     its earliest reply is kept.
     """
     replies = messages.where(
@@ -37,7 +37,13 @@ def reply_pairs(
         "inbound",
         ordinal.alias("_ordinal"),
     )
-    parents = keep_first(numbered, "customer_message_id", F.col("_ordinal")).where("inbound")
+    # Few messages are parents of the brand's replies: their ids go first, their texts last.
+    asked = replies.select("_parent").distinct()
+    slim = numbered.select("customer_message_id", "_ordinal").join(
+        asked, F.col("customer_message_id") == F.col("_parent"), "left_semi"
+    )
+    first = slim.groupBy("customer_message_id").agg(F.min("_ordinal").alias("_ordinal"))
+    parents = numbered.join(first, ["customer_message_id", "_ordinal"], "left_semi").where("inbound")
     if first_turn_only:
         parents = parents.where(F.col("_above").isNull())
         at = F.struct(

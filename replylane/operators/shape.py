@@ -24,6 +24,16 @@ def keep_first(df: DataFrame, key: str, ordinal: Column) -> DataFrame:
     return df.groupBy(key).agg(first).select(key, *[F.col(f"_first.{c}").alias(c) for c in others])
 
 
+def lowest_rows(df: DataFrame, key: str, ordinal: str) -> DataFrame:
+    """The row of each key with the lowest ``ordinal``, a number that no two rows of a key share.
+
+    Only keys and numbers are aggregated, by hash; wide columns are fetched once it is known
+    which rows stand.
+    """
+    first = df.where(F.col(ordinal).isNotNull()).groupBy(key).agg(F.min(ordinal).alias(ordinal))
+    return df.join(first, [key, ordinal], "left_semi")
+
+
 def join_unique(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str, hot_rows: int = 1_000_000
 ) -> DataFrame:

@@ -10,7 +10,7 @@ from replylane.functions import drafting, rules as rule_functions, text
 from replylane.functions.decision import as_code, from_code, with_decision
 from replylane.operators import golden, judging, metrics, retrieval, sampling, tfidf
 from replylane.operators.pairs import clean_pairs, reply_pairs
-from replylane.operators.shape import keep_first
+from replylane.operators.shape import lowest_rows
 from replylane.packs import airline
 from replylane.plans import evaluation, training, triage as triage_plan
 from replylane.registry import inputs
@@ -129,7 +129,7 @@ def pair_ids(spark: SparkSession, sf: str) -> DataFrame:
 def first_copies(spark: SparkSession, sf: str) -> DataFrame:
     """Of documents with the same text, the one with the lowest id."""
     docs = inputs.table(spark, sf, "documents").select(F.md5("text").alias("text_md5"), "doc_id", "source")
-    return keep_first(docs, "text_md5", F.col("doc_id"))
+    return lowest_rows(docs, "text_md5", "doc_id")
 
 
 # --- rules and decisions --------------------------------------------------------------

@@ -112,3 +112,9 @@ def test_csv_scan(spark, tmp_path):
 def test_cast_keeps_the_schema(spark):
     raw = spark.createDataFrame([("1", "a", "True", "t", "x", "NA")], RAW_CSV)
     assert tuple(cast_messages(raw).first()) == ("1", "a", True, "t", "x", None)
+
+
+def test_texts_are_not_sorted_to_find_parents(spark):
+    messages = spark.createDataFrame([], SCHEMA)
+    plan = reply_pairs(messages, "brand", F.col("ordinal"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
