@@ -394,24 +394,18 @@ def triage(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def grounding_prompt(spark: SparkSession, sf: str) -> DataFrame:
-    """Length of each prompt and digest of its examples block."""
+    """Digests of each whole prompt and of its examples block."""
     prompted = triage_plan.with_prompts(_drafted(spark, sf), inputs.DESK)
     block = drafting.examples_block(F.col("hits"))
     return prompted.select(
-        "id", F.md5(block).alias("examples_md5"),
-        F.contains("prompt", block).alias("holds_examples"),
-        F.contains("prompt", F.col("text")).alias("holds_text"),
+        "id", F.md5(block).alias("examples_md5"), F.md5("prompt").alias("prompt_md5"),
     )
 
 
 def judge_prompt(spark: SparkSession, sf: str) -> DataFrame:
     drafted = _drafted(spark, sf)
     prompt = drafting.judge_prompt(F.col("text"), F.col("hits"), F.col("draft_reply"), inputs.BRAND)
-    asked = drafted.select("id", "text", "draft_reply", prompt.alias("prompt"))
-    return asked.select(
-        "id", F.contains("prompt", "draft_reply").alias("holds_draft"),
-        F.contains("prompt", "text").alias("holds_text"),
-    )
+    return drafted.select("id", F.md5(prompt).alias("prompt_md5"))
 
 
 def external_replies(spark: SparkSession, sf: str) -> DataFrame:

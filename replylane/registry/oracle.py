@@ -375,9 +375,25 @@ SELECT DISTINCT weak_intent AS label, 0.0::DOUBLE AS gap FROM split WHERE NOT is
             "SELECT id, rank, pair_id, similarity FROM ranked"),
         "template_reply": _with(DRAFTED, "SELECT id, draft_reply, 'template' AS reply_mode FROM drafted"),
         "triage": _with(DRAFTED, "SELECT id, intent, escalate, reasons, retrieved, draft_reply FROM drafted"),
-        "grounding_prompt": _with(DRAFTED, "SELECT id, md5(block) AS examples_md5, true AS holds_examples, "
-                                  "true AS holds_text FROM drafted"),
-        "judge_prompt": _with(DRAFTED, "SELECT id, true AS holds_draft, true AS holds_text FROM drafted"),
+        "grounding_prompt": _with(DRAFTED, "SELECT id, md5(block) AS examples_md5, md5(concat(" + ", ".join((
+            _q(f"Answer this customer for the {inputs.BRAND} support desk.\nIntent: "), "intent",
+            _q('\nMessage: "'), "text",
+            _q('"\n\nResolved cases to ground the answer in; match their tone and state no fact that '
+               "neither they nor the message holds:\n"), "block",
+            _q("\n\nReturn the reply text alone, at most 280 characters, brief and kind."),
+        )) + ")) AS prompt_md5 FROM drafted"),
+        "judge_prompt": _with(DRAFTED, "SELECT id, md5(concat(" + ", ".join((
+            _q(f'Grade a draft reply of the {inputs.BRAND} support desk.\nMessage: "'), "text",
+            _q('"\nCases it was grounded in:\n'), "coalesce(nullif(block, ''), '(none retrieved)')",
+            _q('\nDraft: "'), "draft_reply",
+            _q('"\nGive whole scores from 1 (poor) to 5 (excellent):\n'
+               "- grounded: invents no facts beyond the message and the cases\n"
+               "- relevant: speaks to what the customer asked\n"
+               "- tone: professional and empathetic\n"
+               "- actionable: names a clear and correct next step\n"
+               'Answer with one JSON object: {"grounded": n, "relevant": n, "tone": n, '
+               '"actionable": n, "notes": "one sentence"}'),
+        )) + ")) AS prompt_md5 FROM drafted"),
         "external_replies": _with(DRAFTED, "SELECT id, CASE WHEN CAST(id AS BIGINT) % 3 = 0 THEN "
                                   "'on it: ' || id ELSE draft_reply END AS draft_reply, "
                                   "CASE CAST(id AS BIGINT) % 3 WHEN 0 THEN 'llm' WHEN 1 THEN "
