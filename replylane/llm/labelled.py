@@ -1,7 +1,8 @@
-"""A bounded, seeded sample of labelled documents for training on the driver."""
+"""A bounded, seeded sample of labelled documents, and models fitted on it in one task."""
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable
 
 import numpy as np
@@ -38,15 +39,13 @@ def class_counts(labels: DataFrame) -> tuple[int, int]:
     return int(row[0] or 0), int(row[1] or 0)
 
 
-def collect_features(
+def features(
     documents: DataFrame, chosen: DataFrame, encode: Callable[[pa.RecordBatch], np.ndarray],
     columns: list[str],
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(doc_id, y, vectors) of the chosen documents, made on the executors and
-    sent with 16 bits a number.
+) -> DataFrame:
+    """(doc_id, y, vector) of the chosen documents, vectors with 16 bits a number.
 
-    ``chosen`` is bounded by its two limits, so it is broadcast. Rows come back in the order
-    of their ids; of repeated ids one row stands.
+    ``chosen`` is bounded by its limits, so it is broadcast.
     """
     def run(batches):
         for batch in batches:
@@ -58,17 +57,32 @@ def collect_features(
             )
 
     picked = documents.select("doc_id", *columns).join(F.broadcast(chosen), "doc_id")
-    found = picked.mapInArrow(run, "doc_id long, y int, vector binary").toArrow()
+    return picked.mapInArrow(run, "doc_id long, y int, vector binary")
+
+
+def matrix(found: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(doc_id, y, float32 rows) in the order of the ids; of repeated ids one row stands."""
     ids, y = found.column("doc_id").to_numpy(), found.column("y").to_numpy()
-    if not len(ids):
-        return ids, y.astype(np.float64), None
-    # repeated ids in the order of their vectors, so that the same row stands every time
-    column = found.column("vector").combine_chunks()
-    keys = [bytes(v.as_py()[:64]) for v in column] if len(set(ids.tolist())) < len(ids) else [b""] * len(ids)
-    order = np.array(sorted(range(len(ids)), key=lambda i: (ids[i], keys[i])))
+    column = found.column("vector")
+    if len(set(ids.tolist())) < len(ids):
+        keys = [v.as_py() for v in column]
+        order = np.array(sorted(range(len(ids)), key=lambda i: (ids[i], keys[i])))
+    else:
+        order = np.argsort(ids)
     order = order[np.append(True, ids[order][1:] != ids[order][:-1])]
-    first = np.frombuffer(column[0].as_buffer(), np.float16)
-    x = np.empty((len(order), len(first)), np.float32)
+    x = np.empty((len(order), len(column[0].as_py()) // 2), np.float32)
     for i, k in enumerate(order.tolist()):
         x[i] = np.frombuffer(column[k].as_buffer(), np.float16)
     return ids[order], y[order].astype(np.float64), x
+
+
+def fit_in_task(rows: DataFrame, fit: Callable[[np.ndarray, np.ndarray, np.ndarray], object]):
+    """What ``fit`` makes of the matrix of a bounded sample, in one task; None without rows."""
+    def run(batches):
+        tables = [pa.Table.from_batches([b]) for b in batches if b.num_rows]
+        if tables:
+            made = pickle.dumps(fit(*matrix(pa.concat_tables(tables))))
+            yield pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], ["made"])
+
+    row = rows.repartition(1).mapInArrow(run, "made binary").first()
+    return None if row is None else pickle.loads(row["made"])

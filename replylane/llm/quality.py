@@ -138,11 +138,13 @@ def train(
     order = F.xxhash64(F.lit(seed + 1), F.col("doc_id"))
     others = documents.where("doc_id is not null").select("doc_id").orderBy(order, "doc_id").limit(pool)
     others = others.distinct().join(known, "doc_id", "left_anti").withColumn("y", F.lit(-1))
-    ids, y, x = labelled.collect_features(
-        documents, chosen.unionByName(others), features, COLUMNS
-    )
-    if x is None:
-        return _keep_all()
+    rows = labelled.features(documents, chosen.unionByName(others), features, COLUMNS)
+    model = labelled.fit_in_task(rows, lambda ids, y, x: _fitted(ids, y, x, low, high))
+    return model or _keep_all()
+
+
+def _fitted(ids: np.ndarray, y: np.ndarray, x: np.ndarray, low: int, high: int) -> CoTrained:
+    """The model of a sample out of ``low`` and ``high`` documents of either label."""
     has = y >= 0
     if set(y[has]) != {0.0, 1.0}:
         return _keep_all()

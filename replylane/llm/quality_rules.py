@@ -98,10 +98,16 @@ def train(
     if not low or not high:
         return linear.Logistic(np.zeros(linear.WIDTH), 20.0)
     chosen = labelled.choose(known, per_class, seed)
-    ids, y, x = labelled.collect_features(
+    rows = labelled.features(
         documents, chosen, lambda b: linear.vectors(b.column("text")), ["text"]
     )
-    if x is None or y.min() == y.max():
+    model = labelled.fit_in_task(rows, lambda ids, y, x: _fitted(ids, y, x, low, high))
+    return model or linear.Logistic(np.zeros(linear.WIDTH), 20.0)
+
+
+def _fitted(ids: np.ndarray, y: np.ndarray, x: np.ndarray, low: int, high: int) -> linear.Logistic:
+    """The model of a sample out of ``low`` and ``high`` documents of either label."""
+    if y.min() == y.max():
         return linear.Logistic(np.zeros(linear.WIDTH), 20.0)
     rate = np.where(y > 0, high / y.sum(), low / (1 - y).sum())
     held = mix(ids.astype(np.uint64)) % np.uint64(5) == 0
