@@ -81,7 +81,9 @@ def fit_in_task(rows: DataFrame, fit: Callable[[np.ndarray, np.ndarray, np.ndarr
     def run(batches):
         tables = [pa.Table.from_batches([b]) for b in batches if b.num_rows]
         if tables:
-            made = pickle.dumps(fit(*matrix(pa.concat_tables(tables))))
+            sample = matrix(pa.concat_tables(tables))
+            tables.clear()
+            made = pickle.dumps(fit(*sample))
             yield pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], ["made"])
 
     row = rows.repartition(1).mapInArrow(run, "made binary").first()

@@ -26,8 +26,8 @@ from replylane.llm import labelled, linear
 from replylane.llm.linear import Logistic, logit, sigmoid
 from replylane.llm.words import chunks, mix
 
-PER_CLASS = 1_000
-POOL = 2_000
+PER_CLASS = 700
+POOL = 1_000
 ROUNDS = 4
 #: how sure a view must be, and how many documents of each label it passes on in a round
 SURE = 0.95

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 IN_WORD = np.ones(256, bool)
 IN_WORD[list(SPACES)] = False
@@ -33,7 +33,7 @@ def mix(values: np.ndarray) -> np.ndarray:
     return z ^ (z >> np.uint64(31))
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     def powers(base: int) -> np.ndarray:
         out = np.full(size, base, np.uint64)
@@ -71,7 +71,7 @@ class Texts:
         """A 64-bit hash per word, the same wherever the word stands."""
         if not len(self.starts):
             return np.zeros(0, np.uint64)
-        size = 1 << max(16, int(len(self.data)).bit_length())
+        size = max(CHUNK_BYTES, 1 << int(len(self.data) - 1).bit_length())
         up, down = _powers(size)
         sums = np.zeros(len(self.data) + 1, np.uint64)
         np.cumsum(_BYTES[self.data] * up[: len(self.data)], out=sums[1:])
