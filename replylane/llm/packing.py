@@ -35,8 +35,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END = 50256
 CONTEXT = 2048
-BLOCK_TOKENS = 4 << 20
-KNOWN_PARTS = 400_000
+BLOCK_TOKENS = 2 << 20
+KNOWN_PARTS = 200_000
 
 SEGMENTS = pa.schema([
     ("n_tokens", pa.int32()), ("doc_ids", pa.list_(pa.int64())),

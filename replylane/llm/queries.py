@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from replylane.llm import (
     decontam, line_dedup, mixing, ngram_join, packing, pii, quality, quality_rules, toxicity, warc,
 )
+from replylane.llm.words import bound_batches
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

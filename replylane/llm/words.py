@@ -12,6 +12,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 CHUNK_BYTES = 1 << 20
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
@@ -133,6 +134,11 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
         first = last
 
 
+def bound_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Whole texts are large rows: fewer of them at a time cross to Python and back."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def segment_sums(values: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     """Sums of consecutive segments; each depends on its own values alone."""
     out = np.zeros(len(cuts) - 1, np.float64)
