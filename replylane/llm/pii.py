@@ -54,6 +54,8 @@ _RUN = re.compile(
     rf"(?<!\w){_ITEM}(?:[ \t.-]{{0,3}}(?<!\w){_ITEM}){{{MIN_SPELLED - 1},}}(?!\w)", re.IGNORECASE
 )
 _RUN_ITEM = re.compile(_ITEM, re.IGNORECASE)
+# Letters that the patterns take for i and s, but whose lower case is not.
+_ODD_CASE = str.maketrans("İıſ", "iis")
 _SIGN = {"at": "@", "@": "@", "arroba": "@", "dot": ".", "punto": ".", "punkt": ".", "point": ".", ".": "."}
 _BRACKETED = re.compile(
     r"[ \t]{0,2}[\[({<][ \t]{0,2}(at|@|arroba|dot|punto|punkt|point|\.)[ \t]{0,2}[\])}>][ \t]{0,2}",
@@ -64,7 +66,7 @@ _BARE_AT = re.compile(
     r"(?=[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}[ \t]{1,2}dot[ \t]{1,2}[A-Za-z0-9])",
     re.IGNORECASE,
 )
-_DOT = re.compile(r"[ \t](?:dot|Dot|DOT)[ \t]")
+_DOT = re.compile(r"[ \t]dot[ \t]", re.IGNORECASE)
 _BARE_DOT = re.compile(r"(?<=[A-Za-z0-9])[ \t]{1,2}dot[ \t]{1,2}(?=[A-Za-z0-9])", re.IGNORECASE)
 
 
@@ -159,7 +161,7 @@ def _spell(rewritten: Rewritten) -> list[tuple[int, int, str]]:
         if all(m[0].isdigit() for m in items):
             continue
         for i, m in enumerate(items):
-            word = m[0].lower()
+            word = m[0].translate(_ODD_CASE).lower()
             new = "+" if word == PLUS else DIGIT_OF.get(word, m[0])
             until = items[i + 1].start() if i + 1 < len(items) else m.end()
             edits.append((m.start(), until, new))
@@ -169,7 +171,8 @@ def _spell(rewritten: Rewritten) -> list[tuple[int, int, str]]:
 def rewrite(text: str, spelled: bool = True) -> Rewritten | None:
     """The text without disguises; None where nothing looks like one.
 
-    ``spelled`` tells whether the text can hold a run of spelled digits.
+    ``spelled`` tells whether the text as it is can hold a run of spelled digits; once
+    something in it was rewritten, that is looked for in any case.
     """
     out = Rewritten(text)
     if not text.isascii():
@@ -191,7 +194,7 @@ def rewrite(text: str, spelled: bool = True) -> Rewritten | None:
                 edits.append((m.start(), m.end(), "."))
                 reach = m.end()
         out.apply(edits)
-    if spelled:
+    if spelled or 1 in out.disguised or len(out.text) != len(text):
         out.apply(_spell(out))
     return out if 1 in out.disguised else None
 
@@ -215,6 +218,25 @@ def added(
 _SPELLING = np.arange(256, dtype=np.uint8)
 _SPELLING[65:91] += 32
 _SPELLING[[9, 45, 46]] = 32
+# The first byte of the letters U+00C0 to U+00FF, in upper case those before U+00DF.
+_ACCENTED = 0xC3
+
+
+def _folded(data: np.ndarray) -> np.ndarray:
+    """The bytes in lower case as far as words for digits go, and all that parts words a blank."""
+    out = _SPELLING[data]
+    if len(data):
+        upper = (data[:-1] == _ACCENTED) & (data[1:] >= 0x80) & (data[1:] < 0x9F)
+        out[1:][upper] += 0x20
+    return out
+
+
+def _odd_case(data: np.ndarray) -> np.ndarray:
+    """Where a letter of ``_ODD_CASE`` begins: C4 B0, C4 B1 and C5 BF."""
+    first, second = data[:-1], data[1:]
+    return np.flatnonzero(
+        ((first == 0xC4) & ((second == 0xB0) | (second == 0xB1))) | ((first == 0xC5) & (second == 0xBF))
+    )
 
 
 @lru_cache(maxsize=1)
@@ -227,12 +249,17 @@ def _item_hashes() -> np.ndarray:
 def may_spell(column: pa.Array) -> np.ndarray:
     """Texts with ``MIN_SPELLED`` words in a row that each spell a digit.
 
-    A quick test before the pattern: words end at blanks, hyphens and full stops, and of the
-    first run of that many words two may be unlike, as the first and last can touch other signs.
+    A quick test before the pattern, which passes every text that the pattern matches as it is
+    (``rewrite`` reads the others after look-alikes, invisible characters and signs): words end
+    at blanks, hyphens and full stops, and of the first run of that many words two may be
+    unlike, as the first and last can touch other signs. Case is that of the pattern; texts with
+    letters whose case changes their length all pass.
     """
     out = np.zeros(len(column), bool)
     for first, _, texts in chunks(column):
-        texts = Texts(_SPELLING[texts.data], texts.offsets)
+        odd = _odd_case(texts.data)
+        out[first + np.searchsorted(texts.offsets, odd, "right") - 1] = True
+        texts = Texts(_folded(texts.data), texts.offsets)
         hashes = texts.word_hashes()
         if len(hashes) < MIN_SPELLED:
             continue

@@ -58,6 +58,54 @@ def test_quick_test_lets_runs_pass():
         pii.may_spell(pa.array(texts))[[0, 1, 2, 3, 7]].all()
 
 
+@pytest.mark.parametrize("text", [
+    "plus four nine f\u0456ve f\u0456ve f\u0456ve one two f\u0456ve f\u0456ve three",
+    "plus fo\u200bur ni\u200bne fi\u200bve fi\u200bve fi\u200bve o\u200bne t\u200bwo fi\u200bve si\u200bx",
+    "PLUS VIER NEUN F\u00dcNF F\u00dcNF F\u00dcNF EINS ZWEI F\u00dcNF F\u00dcNF DREI",
+    "PLUS Z\u00c9RO Z\u00c9RO DEUX Z\u00c9RO Z\u00c9RO Z\u00c9RO SIX Z\u00c9RO UN",
+    "plus f\u0131ve f\u0131ve \u017fix \u017fix \u017fix f\u0131ve f\u0131ve \u017fix one",
+])
+def test_quick_test_lets_disguised_runs_pass(text):
+    import pyarrow as pa
+    assert pii.find(text, pii.may_spell(pa.array([text])).tolist()[0])[2] == f"phone:0:{len(text)}"
+
+
+def test_bare_dot_in_any_case():
+    assert pii.find("ann at mail dOt example doT org now")[2] == "email:0:31"
+
+
+def test_quick_test_never_loses_a_span():
+    import pyarrow as pa
+    rng = random.Random(12)
+    words = [*pii.DIGIT_OF, "plus", "plus", "7", "42", "dot", "(dot)", "[.]", "at", "x@y", "word"]
+    seps = [" ", " ", " ", "-", ".", "\t", "  ", "\u200b", ", ", "(dot)", "\n"]
+    back = {}
+    for odd, plain in pii.LOOKALIKES.items():
+        back.setdefault(plain, []).append(odd)
+    back["i"] += ["\u0131", "\u0130"]
+    back["s"] += ["\u017f", "\U0001d42c"]
+
+    def disguised(word):
+        kind = rng.random()
+        if kind < 0.2:
+            return word.upper()
+        if kind < 0.4:
+            return "".join(rng.choice(back[c]) if c in back and rng.random() < 0.5 else c for c in word)
+        if kind < 0.5:
+            return word[:1] + rng.choice(pii.INVISIBLE) + word[1:]
+        return "".join(rng.choice([c, c.upper()]) for c in word) if kind < 0.6 else word
+
+    texts = []
+    for _ in range(6000):
+        make = disguised if rng.random() < 0.7 else rng.choice([str, str.upper, str.title])
+        texts.append("".join(make(rng.choice(words)) + rng.choice(seps) for _ in range(rng.randint(1, 18))))
+    passed = pii.may_spell(pa.array(texts)).tolist()
+    assert not all(passed)
+    assert sum(pii.find(t)[2] != "" for t in texts) > 100
+    for text, spelled in zip(texts, passed):
+        assert pii.find(text, spelled) == pii.find(text, True), text
+
+
 def test_rows_in_spark(spark):
     rows = [(1, "a@b.c 1.2.3.4", "x"), (None, None, "y"), (2, "", "z"), (1, "a@b.c 1.2.3.4", "x"), (3, "9" * 30000 + "a" * 30000, "w")]
     got = pii.detect_personal_data(spark.createDataFrame(rows, "doc_id long, text string, spans string")).collect()
