@@ -9,6 +9,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from replylane.llm.linear import Sparse
+
 
 def one_label(labels: DataFrame, label: str) -> DataFrame:
     """(doc_id, y): 1 if any row of the document says 1; null ids and labels are left out."""
@@ -41,18 +43,23 @@ def class_counts(labels: DataFrame) -> tuple[int, int]:
 
 def features(
     documents: DataFrame, chosen: DataFrame, encode: Callable[[pa.RecordBatch], np.ndarray],
-    columns: list[str],
+    columns: list[str], sparse: bool = False,
 ) -> DataFrame:
     """(doc_id, y, vector) of the chosen documents, vectors with 16 bits a number.
 
-    ``chosen`` is bounded by its limits, so it is broadcast.
+    ``chosen`` is bounded by its limits, so it is broadcast. Sparse vectors are the slots that
+    are not zero, with 16 bits each, then their numbers.
     """
+    def packed(row: np.ndarray) -> bytes:
+        slots = np.flatnonzero(row)
+        return slots.astype(np.uint16).tobytes() + row[slots].tobytes()
+
     def run(batches):
         for batch in batches:
             rows = np.ascontiguousarray(encode(batch), np.float16)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("y"),
-                 pa.array([r.tobytes() for r in rows], pa.binary())],
+                 pa.array([packed(r) if sparse else r.tobytes() for r in rows], pa.binary())],
                 ["doc_id", "y", "vector"],
             )
 
@@ -60,8 +67,13 @@ def features(
     return picked.mapInArrow(run, "doc_id long, y int, vector binary")
 
 
-def matrix(found: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(doc_id, y, float32 rows) in the order of the ids; of repeated ids one row stands."""
+def matrix(
+    found: pa.Table, width: int | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray | Sparse]:
+    """(doc_id, y, float32 rows) in the order of the ids; of repeated ids one row stands.
+
+    With a ``width`` the vectors are sparse ones of so many slots, and stay so.
+    """
     ids, y = found.column("doc_id").to_numpy(), found.column("y").to_numpy()
     column = found.column("vector")
     if len(set(ids.tolist())) < len(ids):
@@ -70,18 +82,27 @@ def matrix(found: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     else:
         order = np.argsort(ids)
     order = order[np.append(True, ids[order][1:] != ids[order][:-1])]
+    if width is not None:
+        rows = []
+        for k in order.tolist():
+            data = np.frombuffer(column[k].as_buffer(), np.uint16)
+            rows.append((data[: len(data) // 2], data[len(data) // 2 :].view(np.float16)))
+        return ids[order], y[order].astype(np.float64), Sparse.of(rows, width)
     x = np.empty((len(order), len(column[0].as_py()) // 2), np.float32)
     for i, k in enumerate(order.tolist()):
         x[i] = np.frombuffer(column[k].as_buffer(), np.float16)
     return ids[order], y[order].astype(np.float64), x
 
 
-def fit_in_task(rows: DataFrame, fit: Callable[[np.ndarray, np.ndarray, np.ndarray], object]):
+def fit_in_task(
+    rows: DataFrame, fit: Callable[[np.ndarray, np.ndarray, np.ndarray | Sparse], object],
+    width: int | None = None,
+):
     """What ``fit`` makes of the matrix of a bounded sample, in one task; None without rows."""
     def run(batches):
         tables = [pa.Table.from_batches([b]) for b in batches if b.num_rows]
         if tables:
-            sample = matrix(pa.concat_tables(tables))
+            sample = matrix(pa.concat_tables(tables), width)
             tables.clear()
             made = pickle.dumps(fit(*sample))
             yield pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], ["made"])

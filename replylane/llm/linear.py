@@ -74,7 +74,7 @@ class Logistic:
     slope: float = 1.0
     offset: float = 0.0
 
-    def raw(self, x: np.ndarray) -> np.ndarray:
+    def raw(self, x: np.ndarray | Sparse) -> np.ndarray:
         return (x @ self.weights.astype(x.dtype)).astype(np.float64) + self.bias
 
     def calibrated(self, raw: np.ndarray) -> np.ndarray:
@@ -93,8 +93,63 @@ class Logistic:
         return out
 
 
+class Sparse:
+    """Rows of few values other than zero, with the two products that ``fit`` takes.
+
+    The products go by blocks of rows, so what they make on the way is bounded.
+    """
+
+    __array_ufunc__ = None
+    BLOCK = 1 << 18
+
+    def __init__(self, slots: np.ndarray, values: np.ndarray, cuts: np.ndarray, width: int):
+        self.slots, self.values, self.cuts = slots, values, cuts
+        self.shape, self.dtype = (len(cuts) - 1, width), np.dtype(np.float32)
+
+    @classmethod
+    def of(cls, rows: list[tuple[np.ndarray, np.ndarray]], width: int) -> Sparse:
+        """From (slots, values) of each row."""
+        cuts = np.cumsum([0, *[len(slots) for slots, _ in rows]])
+        slots, values = np.empty(cuts[-1], np.uint16), np.empty(cuts[-1], np.float16)
+        for i, (own, value) in enumerate(rows):
+            slots[cuts[i] : cuts[i + 1]], values[cuts[i] : cuts[i + 1]] = own, value
+        return cls(slots, values, cuts, width)
+
+    def __len__(self) -> int:
+        return self.shape[0]
+
+    def _blocks(self):
+        first = 0
+        while first < len(self):
+            last = int(np.searchsorted(self.cuts, self.cuts[first] + self.BLOCK, "right")) - 1
+            last = min(max(last, first + 1), len(self))
+            a, b = self.cuts[first], self.cuts[last]
+            yield first, last, self.slots[a:b], self.values[a:b].astype(np.float32)
+            first = last
+
+    def __getitem__(self, rows: np.ndarray) -> Sparse:
+        return Sparse.of(
+            [(self.slots[a:b], self.values[a:b]) for a, b in zip(self.cuts[rows], self.cuts[rows + 1])],
+            self.shape[1],
+        )
+
+    def __matmul__(self, w: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(self), np.float64)
+        for first, last, slots, values in self._blocks():
+            cuts = self.cuts[first : last + 1] - self.cuts[first]
+            out[first:last] = segment_sums(values * w[slots], cuts)
+        return out
+
+    def __rmatmul__(self, error: np.ndarray) -> np.ndarray:
+        out = np.zeros(self.shape[1], np.float64)
+        for first, last, slots, values in self._blocks():
+            each = np.repeat(error[first:last], np.diff(self.cuts[first : last + 1]))
+            out += np.bincount(slots, each * values, self.shape[1])
+        return out.astype(np.float32)
+
+
 def fit(
-    x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, penalty: float = 1e-3,
+    x: np.ndarray | Sparse, y: np.ndarray, weight: np.ndarray | None = None, penalty: float = 1e-3,
     steps: int = 150, rate: float = 0.05,
 ) -> Logistic:
     """Weighted logistic regression by full-batch gradient steps of adaptive size."""

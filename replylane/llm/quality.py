@@ -1,14 +1,15 @@
 """Quality by co-training a text view and a page-metadata view.
 
-Both views start from the same labelled documents. In every round each view labels the
-unlabelled documents it is surest of, and the other view learns from them. At the end each
-view is calibrated on labelled documents neither saw, and the two calibrated log odds are
-added, the prior taken out once. All documents are scored over their whole texts.
+Both views start from the same labelled documents. In every round each view scores all
+unlabelled documents in Spark and labels the ``PER_ROUND`` it is surest of on either side, and
+the other view learns from them. At the end each view is calibrated on labelled documents
+neither saw, and the two calibrated log odds are added, the prior taken out once. All documents
+are scored over their whole texts.
 
-The labelled sample has at most ``PER_CLASS`` documents of each class, the unlabelled one at
-most ``POOL`` documents; both are chosen by a seeded hash.
+The labelled sample has at most ``PER_CLASS`` documents of each class, chosen by a seeded hash.
+Only it and the documents passed on reach the task that fits.
 
-Defined results: a null text is empty and a null source, language or length has a value of its
+Defined results: documents without an id are scored but not passed on; a null text is empty and a null source, language or length has a value of its
 own; repeated rows give repeated results; other columns are ignored or, by ``keep_good``,
 passed on; without labels of both classes every document is kept.
 """
@@ -26,8 +27,7 @@ from replylane.llm import labelled, linear
 from replylane.llm.linear import Logistic, logit, sigmoid
 from replylane.llm.words import chunks, mix
 
-PER_CLASS = 700
-POOL = 1_000
+PER_CLASS = 1_000
 ROUNDS = 4
 #: how sure a view must be, and how many documents of each label it passes on in a round
 SURE = 0.95
@@ -86,38 +86,69 @@ class CoTrained:
         return a, b, sigmoid(logit(a) + logit(b) - logit(self.prior))
 
 
-def _sure(p: np.ndarray, free: np.ndarray, each: int) -> tuple[np.ndarray, np.ndarray]:
-    """The free documents a view is surest of, and the labels it gives them."""
-    good = free[np.argsort(-p[free], kind="stable")][:each]
-    bad = free[np.argsort(p[free], kind="stable")][:each]
-    good, bad = good[p[good] >= SURE], bad[p[bad] <= 1 - SURE]
-    return np.concatenate([good, bad]), np.concatenate([np.ones(len(good)), np.zeros(len(bad))])
+#: (view that gives, label), in the order of ``_surest``'s kinds; the other view takes
+_GIVES = [(0, 1), (0, 0), (1, 1), (1, 0)]
 
 
-def co_train(
-    x: np.ndarray, y: np.ndarray, held: np.ndarray, weight: np.ndarray, rounds: int = ROUNDS,
-) -> CoTrained:
-    """``y`` is -1 for unlabelled rows, ``held`` marks labelled rows kept for calibration and
-    ``weight`` tells how many documents a labelled row stands for."""
-    views = [x[:, : linear.WIDTH], x[:, linear.WIDTH :]]
-    seen = [(np.flatnonzero((y >= 0) & ~held), y[(y >= 0) & ~held])] * 2
-    free = [np.flatnonzero(y < 0)] * 2
-    share = weight[held] / weight[held].mean()
-    for turn in range(rounds + 1):
-        models = []
-        for view, (rows, labels) in zip(views, seen):
-            model = linear.fit(view[rows], labels)
-            model.slope, model.offset = linear.platt(model.raw(view[held]), y[held], share)
-            models.append(model)
-        if turn == rounds or not len(free[0]) or not len(free[1]):
-            break
-        for giver, taker in ((0, 1), (1, 0)):
-            p = models[giver].calibrated(models[giver].raw(views[giver]))
-            chosen, labels = _sure(p, free[taker], PER_ROUND)
-            free[taker] = np.setdiff1d(free[taker], chosen)
-            rows, known = seen[taker]
-            seen[taker] = np.concatenate([rows, chosen]), np.concatenate([known, labels])
-    return CoTrained(models[0], models[1], float((share * y[held]).sum() / share.sum()))
+def _top(ids: np.ndarray, sure: np.ndarray, each: int) -> np.ndarray:
+    """Where the surest are, ties in a hashed order of the ids."""
+    return np.lexsort((ids, mix(ids.astype(np.uint64)), -sure))[:each]
+
+
+def _surest(
+    documents: DataFrame, known: DataFrame, model: CoTrained, taken: list[dict[int, int]],
+    each: int = PER_ROUND,
+) -> list[dict[int, int]]:
+    """Labels that each view takes from the other, by document: of all documents that are not
+    ``known`` nor ``taken`` by the view before, those the other view is surest of.
+
+    Scores, not texts, are shuffled, and only those of which a view is sure.
+    """
+    old = [np.array(sorted(t), np.int64) for t in taken]
+
+    def scores(batches):
+        for batch in batches:
+            a, b, _ = model.views(batch)
+            some = (np.abs(a - 0.5) >= SURE - 0.5) | (np.abs(b - 0.5) >= SURE - 0.5)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(a), pa.array(b)], ["doc_id", "a", "b"]
+            ).filter(pa.array(some))
+
+    def top(batches):
+        best = [(np.zeros(0, np.int64), np.zeros(0))] * len(_GIVES)
+        for batch in batches:
+            ids = batch.column("doc_id").to_numpy()
+            for kind, (giver, label) in enumerate(_GIVES):
+                sure = batch.column(f"s{kind}").to_numpy()
+                new = np.flatnonzero((sure >= SURE) & ~np.isin(ids, old[1 - giver]))
+                own = np.append(best[kind][0], ids[new])
+                sure = np.append(best[kind][1], sure[new])
+                chosen = _top(own, sure, each)
+                best[kind] = own[chosen], sure[chosen]
+        kinds = np.repeat(np.arange(len(_GIVES)), [len(ids) for ids, _ in best])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(kinds), *[pa.array(np.concatenate(x)) for x in zip(*best)]],
+            ["kind", "doc_id", "sure"],
+        )
+
+    scored = documents.where("doc_id is not null").select(
+        F.col("doc_id").cast("long").alias("doc_id"), *COLUMNS
+    ).mapInArrow(scores, "doc_id long, a double, b double")
+    # one row per id before the join: a copied id meets its label once
+    scored = scored.groupBy("doc_id").agg(*[
+        (F.max(view) if label else 1 - F.min(view)).alias(f"s{kind}")
+        for kind, (view, label) in enumerate(("ab"[giver], label) for giver, label in _GIVES)
+    ])
+    found = scored.join(known.select("doc_id"), "doc_id", "left_anti").mapInArrow(
+        top, "kind long, doc_id long, sure double"
+    ).toArrow()
+    kinds, ids, sure = (found.column(c).to_numpy() for c in ("kind", "doc_id", "sure"))
+    out: list[dict[int, int]] = [{}, {}]
+    for kind, (giver, label) in enumerate(_GIVES):
+        own = np.flatnonzero(kinds == kind)
+        for i in ids[own[_top(ids[own], sure[own], each)]].tolist():
+            out[1 - giver][i] = label
+    return out
 
 
 def _keep_all() -> CoTrained:
@@ -127,36 +158,81 @@ def _keep_all() -> CoTrained:
 
 
 def train(
-    documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, pool: int = POOL,
+    documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, rounds: int = ROUNDS,
     seed: int = SEED,
 ) -> CoTrained:
     known = labelled.one_label(labels, "quality")
     low, high = labelled.class_counts(known)
     if not low or not high:
         return _keep_all()
-    chosen = labelled.choose(known, per_class, seed)
-    order = F.xxhash64(F.lit(seed + 1), F.col("doc_id"))
-    others = documents.where("doc_id is not null").select("doc_id").orderBy(order, "doc_id").limit(pool)
-    others = others.distinct().join(known, "doc_id", "left_anti").withColumn("y", F.lit(-1))
-    rows = labelled.features(documents, chosen.unionByName(others), features, COLUMNS)
-    model = labelled.fit_in_task(rows, lambda ids, y, x: _fitted(ids, y, x, low, high))
-    return model or _keep_all()
+    sample = {r["doc_id"]: r["y"] for r in labelled.choose(known, per_class, seed).collect()}
+    taken: list[dict[int, int]] = [{}, {}]
+    for turn in range(rounds + 1):
+        model = _fit(documents, sample, taken, low, high)
+        if model is None:
+            return _keep_all()
+        new = _surest(documents, known, model, taken) if turn < rounds else [{}, {}]
+        if not any(new):
+            return model
+        taken = [a | b for a, b in zip(taken, new)]
+
+
+def _fit(
+    documents: DataFrame, sample: dict[int, int], taken: list[dict[int, int]], low: int, high: int,
+) -> CoTrained | None:
+    """Both views fitted on the labelled sample and on what each has taken, in one task."""
+    others = sorted((taken[0].keys() | taken[1].keys()) - sample.keys())
+    chosen = documents.sparkSession.createDataFrame(
+        [*sample.items(), *[(i, -1) for i in others]], "doc_id long, y int"
+    )
+    rows = labelled.features(documents, chosen, features, COLUMNS, sparse=True)
+    return labelled.fit_in_task(
+        rows, lambda ids, y, x: _fitted(ids, y, x, taken, low, high), linear.WIDTH + META_WIDTH
+    )
 
 
-def _fitted(ids: np.ndarray, y: np.ndarray, x: np.ndarray, low: int, high: int) -> CoTrained:
-    """The model of a sample out of ``low`` and ``high`` documents of either label."""
+def _fitted(
+    ids: np.ndarray, y: np.ndarray, x: linear.Sparse, taken: list[dict[int, int]], low: int, high: int,
+) -> CoTrained | None:
+    """The model of a sample out of ``low`` and ``high`` documents of either label.
+
+    ``y`` is -1 for the documents that have a label only from the other view.
+    """
     has = y >= 0
     if set(y[has]) != {0.0, 1.0}:
-        return _keep_all()
+        return None
     held = has & (mix(ids.astype(np.uint64)) % np.uint64(4) == 0)
     if set(y[held]) != {0.0, 1.0} or set(y[has & ~held]) != {0.0, 1.0}:
         # too few to set any apart but one of each label
         held = np.zeros(len(y), bool)
         held[[np.flatnonzero(y == k)[0] for k in (0, 1)]] = True
         if set(y[has & ~held]) != {0.0, 1.0}:
-            return _keep_all()
-    weight = np.where(y > 0, high / (y > 0).sum(), low / (y == 0).sum())
-    return co_train(x, y, held, weight)
+            return None
+    # how many documents a held one stands for
+    share = np.where(y > 0, high / (y > 0).sum(), low / (y == 0).sum())[held]
+    share /= share.mean()
+    models = []
+    for view, own in zip(_views(x), taken):
+        given = np.array([-1 if k else own.get(i, -1) for i, k in zip(ids.tolist(), has)], np.float64)
+        labels = np.where(has, y, given)
+        rows = np.flatnonzero((labels >= 0) & ~held)
+        model = linear.fit(view[rows], labels[rows])
+        raw = model.raw(view[np.flatnonzero(held)])
+        model.slope, model.offset = linear.platt(raw, y[held], share)
+        models.append(model)
+    return CoTrained(*models, float((share * y[held]).sum() / share.sum()))
+
+
+def _views(x: linear.Sparse) -> tuple[linear.Sparse, linear.Sparse]:
+    """The text part and the metadata part of ``features``."""
+    of_text = x.slots < linear.WIDTH
+    cuts = np.append(0, np.cumsum(of_text))[x.cuts]
+    return (
+        linear.Sparse(x.slots[of_text], x.values[of_text], cuts, linear.WIDTH),
+        linear.Sparse(
+            x.slots[~of_text] - np.uint16(linear.WIDTH), x.values[~of_text], x.cuts - cuts, META_WIDTH
+        ),
+    )
 
 
 def score(documents: DataFrame, model: CoTrained, keep_at: float = KEEP_AT) -> DataFrame:

@@ -38,6 +38,56 @@ def test_co_training_keeps_good_documents(spark):
     assert kept.count() == sum(r.kept for r in quality.score(docs, model).collect())
 
 
+def test_views_teach_each_other_from_all_unlabelled_documents(spark):
+    from pyspark.sql import functions as F
+
+    order = spark.range(1400).orderBy(F.xxhash64(F.lit(quality.SEED + 1), "id"), "id").collect()
+    ids = [r.id for r in order]
+    rng = random.Random(6)
+
+    def text(letters):
+        return " ".join("".join(rng.choice(letters) for _ in range(4)) for _ in range(30))
+
+    # words of the unlabelled documents, last in the hash, occur in no labelled one; sources do
+    rows = [(i, text("abc" if i % 2 else "def"), "en", "ab"[i % 2], 150) for i in ids[:1200]]
+    rows += [(i, text("uvw" if i % 2 else "xyz"), "en", "ab"[i % 2], 150) for i in ids[1200:]]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids[:1200]], "doc_id long, quality int")
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    got = {r.doc_id: r.p_text for r in quality.score(docs, quality.train(docs, labels)).collect()}
+    assert all((got[i] >= 0.5) == bool(i % 2) for i in ids[1200:])
+
+
+def test_the_surest_are_those_of_a_full_sort(spark):
+    rows, labels = documents(400)
+    docs = spark.createDataFrame(rows + rows[300:350] * 3 + [(None, "x", None, "a", 1)], SCHEMA).repartition(6)
+    known = spark.createDataFrame(labels[:150], "doc_id long, y int")
+    model = quality.train(docs, known.withColumnRenamed("y", "quality"))
+    taken = [{160: 1, 170: 0}, {i: 1 for i in range(200, 230)}]
+    scores = {r.doc_id: (r.p_text, r.p_meta) for r in quality.score(docs, model).collect() if r.doc_id is not None}
+    hashed = dict(zip(range(400), quality.mix(np.arange(400).astype(np.uint64)).tolist()))
+    want = [{}, {}]
+    for giver in (0, 1):
+        for label in (1, 0):
+            sure = {i: p[giver] if label else 1 - p[giver] for i, p in scores.items()}
+            free = [i for i in sure if i >= 150 and i not in taken[1 - giver] and sure[i] >= quality.SURE]
+            free.sort(key=lambda i: (-sure[i], hashed[i], i))
+            want[1 - giver] |= {i: label for i in free[:20]}
+    assert want[1] and quality._surest(docs, known, model, taken, 20) == want
+
+
+def test_sparse_rows_fit_as_dense_ones():
+    from replylane.llm import linear
+
+    rng = np.random.default_rng(4)
+    x = (rng.random((90, 40)) * (rng.random((90, 40)) < 0.2)).astype(np.float16)
+    x[7] = 0
+    y = (x[:, 0] + x[:, 1] > 0.1).astype(float)
+    sparse = linear.Sparse.of([(np.flatnonzero(r), r[np.flatnonzero(r)]) for r in x], 40)
+    sparse.BLOCK = 50
+    a, b = linear.fit(x.astype(np.float32), y), linear.fit(sparse, y)
+    assert np.allclose(a.weights, b.weights, atol=1e-3) and np.allclose(a.raw(x.astype(np.float32)), b.raw(sparse), atol=1e-2)
+
+
 def test_without_labels_all_stay(spark):
     docs = spark.createDataFrame(documents(5)[0], SCHEMA)
     for labels in ([], [(1, 1)], [(None, 0), (2, None)]):
