@@ -7,8 +7,9 @@ lost attempt left behind is never read.
 
 Defined results: a null html is an empty payload; a null url leaves the target out; rows with
 one page id are records of their own, and of equal rows with the largest id one is the
-response; a null page id counts as the smallest; an archive too small to build a dictionary
-from has none; an empty table writes no archive; other columns are ignored. The pages have to
+response; a null page id counts as the smallest; an archive of fewer than ``SAMPLES`` records
+and under ``SAMPLES * PIECE_BYTES`` bytes, or one whose first ``HELD_BYTES`` give the trainer
+nothing to build from, has no dictionary; an empty table writes no archive; other columns are ignored. The pages have to
 be a table that reads the same way twice.
 """
 
@@ -37,6 +38,11 @@ SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest
 
 DICTIONARY_BYTES = 32 << 10
 SAMPLE_BYTES = 1 << 20
+#: what a dictionary needs at least, the shortest pieces that long records are cut into for
+#: training, and how many bytes of records wait at most
+SAMPLES = 8
+PIECE_BYTES = 4 << 10
+HELD_BYTES = 8 << 20
 ARCHIVE_BYTES = 64 << 20
 LEVEL = 6
 SALTS = 16
@@ -85,8 +91,20 @@ def make_record(row: dict, payload: bytes) -> bytes:
 
 
 def build_dictionary(samples: list[bytes]) -> zstandard.ZstdCompressionDict | None:
-    """A dictionary from records; None where there are too few of them."""
-    if len(samples) < 8:
+    """A dictionary from records; None where there is too little in them.
+
+    Long records are cut, so that a few of them are samples enough, and of each at most an
+    equal share of ``SAMPLE_BYTES`` is taken, spread over the record.
+    """
+    share = SAMPLE_BYTES // SAMPLES
+    piece = min(share, max(PIECE_BYTES, sum(map(len, samples)) // SAMPLES))
+    each = max(1, SAMPLE_BYTES // min(len(samples), SAMPLES) // piece) if samples else 1
+    cut = []
+    for record in samples:
+        pieces = range(0, len(record), piece)
+        cut += [record[a : a + piece] for a in pieces[:: -(-len(pieces) // each)]]
+    samples = cut
+    if len(samples) < SAMPLES:
         return None
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=256, d=8)
@@ -101,6 +119,7 @@ class ArchiveWriter:
         self.sink = sink
         self.waiting: list[bytes] | None = []
         self.size = self.records = 0
+        self.ready = SAMPLE_BYTES
 
     def add(self, record: bytes) -> None:
         self.size += len(record)
@@ -109,11 +128,15 @@ class ArchiveWriter:
             self.sink.write(self.compressor.compress(record))
             return
         self.waiting.append(record)
-        if self.size >= SAMPLE_BYTES:
-            self._begin()
+        if self.size >= HELD_BYTES or (self.size >= self.ready and self.records >= SAMPLES):
+            self._begin(self.size >= HELD_BYTES)
 
-    def _begin(self) -> None:
+    def _begin(self, last: bool = True) -> None:
         dictionary = build_dictionary(self.waiting)
+        if dictionary is None and not last:
+            # nothing to learn from yet, such as pages of one letter: wait for as much again
+            self.ready = 2 * self.size
+            return
         if dictionary is not None:
             raw = dictionary.as_bytes()
             self.sink.write(struct.pack("<II", DICTIONARY_FRAME, len(raw)) + raw)

@@ -67,6 +67,41 @@ def test_layout_of_an_archive():
     assert [b for _, b in warc.read_records(io.BytesIO(few.getvalue()))]
 
 
+def test_long_records_leave_no_archive_without_dictionary():
+    import random
+
+    class Kept(io.BytesIO):
+        def close(self):
+            pass
+
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(3000)]
+
+    def page(size):
+        return " ".join(rng.choice(words) for _ in range(size // 7)).encode()
+
+    small = [page(900) for _ in range(1500)]
+    for pages in (
+        [page(1_500_000), *small],
+        [small[0], page(1_100_000), *small],
+        [page(200_000) for _ in range(12)],
+        [page(200_000) for _ in range(3)],
+        [page(9_000_000)],
+        [b"x" * 1_200_000, *small],
+    ):
+        sink = Kept()
+        writer = warc.ArchiveWriter(sink)
+        for i, body in enumerate(pages):
+            writer.add(warc.make_record(
+                {"page_id": i, "tag": i, "url": f"http://h/{i}", "refers_to": None, "refers_tag": None}, body))
+        writer.close()
+        data = sink.getvalue()
+        assert struct.unpack("<I", data[:4])[0] == 0x184D2A5D, len(pages)
+        got = list(warc.read_records(io.BytesIO(data)))
+        assert [f["Page-ID"] for f, _ in got] == [str(i) for i in range(len(pages))]
+        assert all(b.endswith(p) for (_, b), p in zip(got, pages))
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.read_archives(warc.write_archives(df)).count() == 0
