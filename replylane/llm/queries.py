@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from replylane.llm import (
-    decontam, line_dedup, mixing, ngram_join, packing, pii, quality, quality_rules, toxicity, warc,
+    alignment, bpe, decontam, line_dedup, mixing, ngram_join, packing, pii, quality, quality_rules,
+    spelling, toxicity, warc,
 )
 from replylane.llm.words import bound_batches
 
@@ -170,6 +171,31 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(documents, model)
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.misspelt_words(_table(spark, sf_dir, "documents"))
+    return spelling.variants(spelling.vocabulary(words))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align(_table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise(F.lit(""))
+    return found.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+        digest.alias("groups_sha256"),
+    )
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode every text, decode its ids again, and digest both."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.decode(bpe.encode(documents))
+    written = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(written, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_toxicity": op2_toxicity,
@@ -181,6 +207,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_pii": op9_pii,
     "op10_quality_rules": op10_quality_rules,
+    "op11_spelling": op11_spelling,
+    "op12_alignment": op12_alignment,
+    "op13_bpe": op13_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {
