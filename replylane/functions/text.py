@@ -7,11 +7,9 @@ includes the four separator controls U+001C..U+001F.
 
 from __future__ import annotations
 
-import html
+from html.entities import html5
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StringType
 
 # Text that a CSV scan reads as null.
 NULL_TOKENS = (
@@ -28,10 +26,69 @@ MESSAGE_TIME = "MMM d HH:mm:ss Z yyyy"
 WEEKDAY = "^(Mon|Tue|Wed|Thu|Fri|Sat|Sun) "
 
 
-@F.arrow_udf(StringType())
-def _unescape(texts: pa.Array) -> pa.Array:
-    return pa.array(
-        [None if t is None else html.unescape(t) for t in texts.to_pylist()], pa.string()
+def _names_pattern(names: list[str]) -> str:
+    """One pattern for many names that goes letter by letter and prefers the longest."""
+    tree: dict = {}
+    for name in names:
+        node = tree
+        for letter in name:
+            node = node.setdefault(letter, {})
+        node[""] = {}
+
+    def write(node: dict) -> str:
+        parts = [letter + write(below) for letter, below in sorted(node.items()) if letter]
+        if not parts:
+            return ""
+        body = parts[0] if len(parts) == 1 and "" not in node else f"(?:{'|'.join(parts)})"
+        return body + "?" if "" in node else body
+
+    return write(tree)
+
+
+_ENTITY_NAME = f"^{_names_pattern(list(html5))}"
+_NUMBER = "^#(?:[0-9]+|[xX][0-9a-fA-F]+);?"
+# Numbers that stand for the characters of Windows-1252.
+WINDOWS = "€\x81‚ƒ„…†‡ˆ‰Š‹Œ\x8dŽ\x8f\x90‘’“”•–—˜™š›œ\x9džŸ"
+
+
+def _named(name: Column) -> Column:
+    """The text of an entity's name, from a constant table."""
+    table = F.str_to_map(
+        F.lit("\x1e".join(f"{k}\x1f{v}" for k, v in html5.items())), F.lit("\x1e"), F.lit("\x1f")
+    )
+    return F.element_at(table, name)
+
+
+def _numbered(written: Column) -> Column:
+    """The character of a number as it stands after the ampersand."""
+    digits = F.regexp_replace(written, "[#;]", "")
+    hexadecimal = digits.rlike("^[xX]")
+    digits = F.regexp_replace(digits, "^[xX]?0*(?=.)", "")
+    number = F.when(F.length(digits) > 8, F.lit(0x110000)).otherwise(
+        F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(digits).cast("long")
+    )
+    utf32 = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    low = number.bitwiseAND(F.lit(0xFFFF))
+    nothing = (
+        number.between(0x1, 0x8) | number.between(0xB, 0xB) | number.between(0xE, 0x1F) | (number == 0x7F)
+        | number.between(0xFDD0, 0xFDEF) | ((number >= 0xFFFE) & low.isin(0xFFFE, 0xFFFF))
+    )
+    return (
+        F.when((number == 0) | number.between(0xD800, 0xDFFF) | (number > 0x10FFFF), F.lit("\ufffd"))
+        .when(number.between(0x80, 0x9F), F.substring(F.lit(WINDOWS), (number - 127).cast("int"), F.lit(1)))
+        .when(nothing, F.lit(""))
+        .otherwise(utf32)
+    )
+
+
+def _decoded(part: Column) -> Column:
+    """What follows an ampersand, up to the next, with the entity it begins with decoded."""
+    number = F.regexp_extract(part, _NUMBER, 0)
+    name = F.regexp_extract(part, _ENTITY_NAME, 0)
+    return (
+        F.when(number != "", F.concat(_numbered(number), F.substr(part, F.length(number) + 1)))
+        .when(name != "", F.concat(_named(name), F.substr(part, F.length(name) + 1)))
+        .otherwise(F.concat(F.lit("&"), part))
     )
 
 
@@ -40,8 +97,15 @@ def null_if_token(text: Column) -> Column:
 
 
 def decode_entities(text: Column) -> Column:
-    """One pass over all HTML5 entities; only rows holding ``&`` travel to Python."""
-    return F.coalesce(_unescape(F.when(text.contains("&"), text)), text)
+    """One pass over all HTML5 entities; the longest name counts, with or without semicolon.
+
+    No entity holds an ampersand, so each stretch behind one is decoded by itself.
+    """
+    parts = F.split(text, "&")
+    rest = F.transform(F.slice(parts, F.lit(2), F.size(parts) - 1), _decoded)
+    return F.when(
+        text.contains("&"), F.concat(F.element_at(parts, 1), F.array_join(rest, ""))
+    ).otherwise(text)
 
 
 def clean_text(text: Column) -> Column:

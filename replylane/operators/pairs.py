@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from replylane.functions.text import clean_text, parse_message_time
-from replylane.operators.shape import dense_index, join_unique, keep_first
+from replylane.operators.shape import dense_index, join_unique, keep_first, lowest_rows, may_hold
 from replylane.schemas import PAIR
 from replylane.staging import stage
 
@@ -20,16 +20,16 @@ def reply_pairs(
     then is the parent tested for being inbound. With ``first_turn_only`` the parent must itself open the thread, and
     its earliest reply is kept.
     """
-    replies = messages.where(
+    replies = stage(messages.where(
         (F.col("author_id") == brand) & F.col("reply_to_id").isNotNull()
     ).select(
         F.col("reply_to_id").alias("_parent"),
         F.col("message_id").alias("agent_message_id"),
         F.col("text").alias("agent_text"),
         F.col("created_at").alias("agent_time"),
-    )
+    ), "replies")
     # What is not inbound can only hide a later copy, so its text need not travel.
-    numbered = messages.where(F.col("message_id").isNotNull()).select(
+    numbered = messages.select(
         F.col("message_id").alias("customer_message_id"),
         F.when(F.col("inbound"), F.col("text")).alias("customer_text"),
         F.when(F.col("inbound"), F.col("created_at")).alias("_created_at"),
@@ -37,13 +37,10 @@ def reply_pairs(
         "inbound",
         ordinal.alias("_ordinal"),
     )
-    # Few messages are parents of the brand's replies: their ids go first, their texts last.
-    asked = replies.select("_parent").distinct()
-    slim = numbered.select("customer_message_id", "_ordinal").join(
-        asked, F.col("customer_message_id") == F.col("_parent"), "left_semi"
-    )
-    first = slim.groupBy("customer_message_id").agg(F.min("_ordinal").alias("_ordinal"))
-    parents = numbered.join(first, ["customer_message_id", "_ordinal"], "left_semi").where("inbound")
+    # Few messages are parents of the brand's replies: a filter of the asked ids lets these
+    # through while the dump is read, and what it lets through is written and read from there.
+    asked = stage(may_hold(numbered, "customer_message_id", replies, "_parent"), "asked-messages")
+    parents = lowest_rows(asked, "customer_message_id", "_ordinal").where("inbound")
     if first_turn_only:
         parents = parents.where(F.col("_above").isNull())
         at = F.struct(
@@ -51,7 +48,8 @@ def reply_pairs(
             parse_message_time(F.col("agent_time")), "agent_message_id",
         )
         replies = keep_first(replies, "_parent", at)
-    parents = parents.select("customer_message_id", "customer_text", "_created_at")
+        replies = stage(replies, "first-replies")
+    parents = stage(parents.select("customer_message_id", "customer_text", "_created_at"), "parents")
     joined = join_unique(replies, parents, "_parent", "customer_message_id", hot_rows)
     return joined.drop("_parent")
 

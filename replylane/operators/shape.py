@@ -40,20 +40,23 @@ def join_unique(
     """Inner join to a side that holds each key once, with any number of hot keys on the left.
 
     The at most ``HOT_KEYS`` most frequent keys with ``hot_rows`` rows or more meet their
-    single partner by broadcast; everything else joins by shuffle. When no key is hot the
-    adaptive planner drops the first branch.
+    single partner by broadcast; everything else joins by shuffle. They are looked for first,
+    so both sides should be written tables; when no key is hot, each is read once more.
     """
-    hot = (
+    hot = stage(
         left.where(F.col(left_key).isNotNull())
         .groupBy(F.col(left_key).alias("_hot"))
         .count()
         .where(F.col("count") >= hot_rows)
         .orderBy(F.desc("count"), "_hot")
         .limit(HOT_KEYS)
-        .select("_hot")
+        .select("_hot"),
+        "hot-keys",
     )
-    few = F.broadcast(hot)
     matches = F.col(left_key) == F.col(right_key)
+    if hot.isEmpty():
+        return left.join(right, matches)
+    few = F.broadcast(hot)
     partners = F.broadcast(right.join(few, F.col(right_key) == F.col("_hot"), "left_semi"))
     hot_rows_joined = left.join(few, F.col(left_key) == F.col("_hot"), "left_semi").join(
         partners, matches
@@ -78,6 +81,37 @@ def join_small(
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
+#: bits of the filter of ``may_hold``, in maps of 32,768
+FILTER_MAPS, MAP_BITS = 2_048, 32_768
+
+
+def may_hold(df: DataFrame, key: str, keys: DataFrame, its_key: str) -> DataFrame:
+    """The rows of ``df`` whose key may be among the given ones: a Bloom filter of fixed size.
+
+    Two bits a key, at most ``FILTER_MAPS`` maps of 4 KiB, which are broadcast. No row that an
+    inner or semi join would keep is lost; of the others most go while the keys are few beside
+    the bits. Rows without a key go.
+    """
+    def places(column: Column) -> list[Column]:
+        return [F.pmod(F.xxhash64(F.lit(i), column.cast("string")), F.lit(FILTER_MAPS * MAP_BITS)) for i in (1, 2)]
+
+    each = keys.where(F.col(its_key).isNotNull()).select(F.explode(F.array(*places(F.col(its_key)))).alias("at"))
+    maps = each.groupBy(F.floor(F.col("at") / MAP_BITS).cast("int").alias("map")).agg(
+        F.bitmap_construct_agg((F.col("at") % MAP_BITS).cast("long")).alias("bits")
+    )
+    maps = stage(maps, "filter-maps")
+    kept = df.where(F.col(key).isNotNull())
+    for i, at in enumerate(places(F.col(key))):
+        number, place = f"_map{i}", F.col(f"_place{i}")
+        kept = kept.withColumn(number, F.floor(at / MAP_BITS).cast("int")).withColumn(
+            f"_place{i}", (at % MAP_BITS).cast("int")
+        ).join(F.broadcast(maps.select(F.col("map").alias(number), F.col("bits").alias("_bits"))), number)
+        byte = F.conv(F.hex(F.substring("_bits", F.shiftright(place, 3) + 1, F.lit(1))), 16, 10).cast("int")
+        bit = F.call_function("shiftright", byte, place.bitwiseAND(F.lit(7))).bitwiseAND(F.lit(1))
+        kept = kept.where(bit == 1).drop("_bits", number, f"_place{i}")
+    return kept.select(*df.columns)
+
+
 def mark_lowest(
     df: DataFrame, group: str, order_hash: Column, tie: Column,
     quota_of: Callable[[DataFrame], DataFrame], out: str, digits: int = 4,

@@ -17,7 +17,8 @@ from replylane.operators.tfidf import MAX_FEATURES, TfidfModel
 from replylane.staging import stage
 
 MAX_LABELS = 10_000
-ROWS_PER_TASK = 10_000
+#: entries of vectors in one task of the fit
+ENTRIES_PER_TASK = 250_000
 
 
 @dataclass(frozen=True)
@@ -73,6 +74,16 @@ class IntentModel:
         )
 
 
+def in_blocks(vectors: DataFrame, entries: int = ENTRIES_PER_TASK) -> DataFrame:
+    """Written vectors in as many partitions as their non-zero entries ask for.
+
+    Every step of the optimiser is a job over these, with its gradient summed up in a tree:
+    tasks should have enough to do, and a few long texts are as much work as many short ones.
+    """
+    filled = vectors.agg(F.sum(F.size(F.unwrap_udt("features")["indices"]))).first()[0] or 0
+    return vectors.repartition(max(1, math.ceil(filled / entries)))
+
+
 def fit_intent_model(
     train: DataFrame, text_col: str, label_col: str, max_features: int = MAX_FEATURES,
     min_df: int = 2, strength: float = 2.0, max_iter: int = 1000,
@@ -95,9 +106,7 @@ def fit_intent_model(
         (F.col("_at") - 1).cast("double").alias("label"),
         F.element_at(balance, F.col("_at")).alias("weight"),
     )
-    # The vectors are written once, in parallel. Every optimiser step is a job of its own, so
-    # few rows in many tasks would be all scheduling.
-    ready = stage(ready, "vectors").coalesce(math.ceil(total / ROWS_PER_TASK))
+    ready = in_blocks(stage(ready, "vectors"))
     # The balanced weights sum to the row count, so this is 1 / (C * sum of weights).
     regression = LogisticRegression(
         family="multinomial", weightCol="weight", regParam=1.0 / (strength * total),
