@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame, functions as F
 from replylane.llm.words import Texts, chunks
 
 KINDS = ("email", "ip", "card", "phone")
-MIN_SPELLED = 7
+#: digits below which nothing is found, and items of a run with a spelled plus alone
+MIN_DIGITS, MIN_PLUS = 4, 7
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
@@ -49,11 +50,13 @@ SPELLED = (
 DIGIT_OF = {word: str(i) for row in SPELLED for i, word in enumerate(row.split())} | {"oh": "0"}
 PLUS = "plus"
 
-_ITEM = "(?:" + "|".join(sorted([*DIGIT_OF, PLUS, "[0-9]"], key=len, reverse=True)) + ")"
+_DIGIT = "|".join(sorted(DIGIT_OF, key=len, reverse=True))
+_DOTTED = "dot|punto|punkt|point"
+_ITEM = f"(?:{_DIGIT}|{PLUS}|[0-9]++)"
 _RUN = re.compile(
-    rf"(?<!\w){_ITEM}(?:[ \t.-]{{0,3}}(?<!\w){_ITEM}){{{MIN_SPELLED - 1},}}(?!\w)", re.IGNORECASE
+    rf"(?<!\w){_ITEM}(?:[ \t.-]{{1,3}}(?:(?:{_DOTTED})[ \t.-]{{1,3}})?{_ITEM})+(?!\w)", re.IGNORECASE
 )
-_RUN_ITEM = re.compile(_ITEM, re.IGNORECASE)
+_RUN_ITEM = re.compile(f"{_ITEM}|{_DOTTED}", re.IGNORECASE)
 # Letters that the patterns take for i and s, but whose lower case is not.
 _ODD_CASE = str.maketrans("İıſ", "iis")
 _SIGN = {"at": "@", "@": "@", "arroba": "@", "dot": ".", "punto": ".", "punkt": ".", "point": ".", ".": "."}
@@ -100,7 +103,8 @@ def detect(text: str) -> list[tuple[str, int, int]]:
     """Base spans, by kind as listed and then by start."""
     found = [("email", a, b) for a, b in _emails(text)] if "@" in text else []
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m[0].split(".")):
+        parts = [p.lstrip("0") for p in m[0].split(".")]
+        if all(len(p) < 4 and int(p or "0") <= 255 for p in parts):
             found.append(("ip", m.start(), m.end()))
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 16:
@@ -155,16 +159,33 @@ class Rewritten:
 
 
 def _spell(rewritten: Rewritten) -> list[tuple[int, int, str]]:
+    """Edits that write spelled digits, with what stands beside them, as one number.
+
+    What parts two plain groups of digits stays. Whether the number is anything is for the
+    detectors to say, by its length, check digit or parts.
+    """
     edits = []
     for run in _RUN.finditer(rewritten.text):
-        items = list(_RUN_ITEM.finditer(rewritten.text, run.start(), run.end()))
-        if all(m[0].isdigit() for m in items):
-            continue
-        for i, m in enumerate(items):
+        items = []
+        for m in _RUN_ITEM.finditer(rewritten.text, run.start(), run.end()):
             word = m[0].translate(_ODD_CASE).lower()
-            new = "+" if word == PLUS else DIGIT_OF.get(word, m[0])
-            until = items[i + 1].start() if i + 1 < len(items) else m.end()
-            edits.append((m.start(), until, new))
+            new = m[0] if m[0].isdigit() else "+" if word == PLUS else DIGIT_OF.get(word, ".")
+            items.append((m.start(), m.end(), new, m[0].isdigit()))
+        spelled = sum(not plain and new.isdigit() for *_, new, plain in items)
+        signs = sum(new == "+" for *_, new, _ in items)
+        digits = sum(len(new) for *_, new, _ in items if new.isdigit())
+        # "plus" is a common word: one number beside it in letters does not make it a sign
+        if len(items) < MIN_PLUS and (spelled < 1 + (signs > 0) or digits < MIN_DIGITS):
+            continue
+        if not spelled and not signs:
+            continue
+        before = None
+        for a, b, new, plain in items:
+            if before and a > before[0] and not (plain and before[1]):
+                edits.append((before[0], a, ""))
+            if not plain:
+                edits.append((a, b, new))
+            before = b, plain
     return edits
 
 
@@ -215,19 +236,21 @@ def added(
     return spans
 
 
-_SPELLING = np.arange(256, dtype=np.uint8)
-_SPELLING[65:91] += 32
-_SPELLING[[9, 45, 46]] = 32
+_SPELLING = np.full(256, 32, np.uint8)
+_SPELLING[48:58] = np.arange(48, 58)
+_SPELLING[65:91] = _SPELLING[97:123] = np.arange(97, 123)
 # The first byte of the letters U+00C0 to U+00FF, in upper case those before U+00DF.
 _ACCENTED = 0xC3
 
 
 def _folded(data: np.ndarray) -> np.ndarray:
-    """The bytes in lower case as far as words for digits go, and all that parts words a blank."""
+    """Digits, and Latin letters in lower case; all other bytes become blanks."""
     out = _SPELLING[data]
     if len(data):
-        upper = (data[:-1] == _ACCENTED) & (data[1:] >= 0x80) & (data[1:] < 0x9F)
-        out[1:][upper] += 0x20
+        first, second = data[:-1], data[1:]
+        pair = np.flatnonzero((first == _ACCENTED) & (second >= 0x80) & ((second & 0x1F) != 0x17))
+        out[pair] = _ACCENTED
+        out[pair + 1] = np.where(second[pair] < 0x9F, second[pair] + 0x20, second[pair])
     return out
 
 
@@ -241,19 +264,18 @@ def _odd_case(data: np.ndarray) -> np.ndarray:
 
 @lru_cache(maxsize=1)
 def _item_hashes() -> np.ndarray:
-    words = [*DIGIT_OF, PLUS, *"0123456789"]
-    _, _, texts = next(chunks(pa.array([" ".join(words)])))
+    _, _, texts = next(chunks(pa.array([" ".join([*DIGIT_OF, PLUS])])))
     return np.unique(texts.word_hashes())
 
 
 def may_spell(column: pa.Array) -> np.ndarray:
-    """Texts with ``MIN_SPELLED`` words in a row that each spell a digit.
+    """Texts with a spelled digit, or plus, beside another or beside a number.
 
-    A quick test before the pattern, which passes every text that the pattern matches as it is
-    (``rewrite`` reads the others after look-alikes, invisible characters and signs): words end
-    at blanks, hyphens and full stops, and of the first run of that many words two may be
-    unlike, as the first and last can touch other signs. Case is that of the pattern; texts with
-    letters whose case changes their length all pass.
+    A quick test before the pattern, which passes every text in which the pattern finds one as
+    the text is (``rewrite`` reads the others after look-alikes, invisible characters and
+    signs). Words end here at everything but digits and Latin letters, and words for dots are
+    passed over, so all that touches an item of the pattern is apart from it. Case is that of
+    the pattern; texts with letters whose case changes their length all pass.
     """
     out = np.zeros(len(column), bool)
     for first, _, texts in chunks(column):
@@ -261,14 +283,15 @@ def may_spell(column: pa.Array) -> np.ndarray:
         out[first + np.searchsorted(texts.offsets, odd, "right") - 1] = True
         texts = Texts(_folded(texts.data), texts.offsets)
         hashes = texts.word_hashes()
-        if len(hashes) < MIN_SPELLED:
+        if len(hashes) < 2:
             continue
         known = _item_hashes()
-        place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-        total = np.append(0, np.cumsum(known[place] == hashes))
-        runs = np.flatnonzero(total[MIN_SPELLED:] - total[:-MIN_SPELLED] >= MIN_SPELLED - 2)
-        out[first + np.unique(texts.text_of[runs])] = True
-        out[first + np.unique(texts.text_of[runs + MIN_SPELLED - 1])] = True
+        spelled = known[np.minimum(np.searchsorted(known, hashes), len(known) - 1)] == hashes
+        digits = np.append(0, np.cumsum((texts.data >= 48) & (texts.data < 58)))
+        item = spelled | (digits[texts.ends] > digits[texts.starts])
+        for step in (1, 2):  # beside each other, or with a word for a dot between
+            near = (spelled[:-step] & item[step:]) | (item[:-step] & spelled[step:])
+            out[first + texts.text_of[np.flatnonzero(near & (texts.text_of[:-step] == texts.text_of[step:]))]] = True
     return out
 
 

@@ -37,6 +37,10 @@ def test_base_spans_are_those_of_the_patterns():
     ("ip 192 dot 168 dot 0 dot 12!", "ip", "192 dot 168 dot 0 dot 12"),
     ("no ４１１１ １１１１ １１１１ １１１１", "card", "４１１１ １１１１ １１１１ １１１１"),
     ("call plus four nine one five one two three four five six seven.", "phone", "plus four nine one five one two three four five six seven"),
+    ("card 4111 1111 1111 one one one one ok", "card", "4111 1111 1111 one one one one"),
+    ("at one nine two dot one six eight dot zero dot one.", "ip", "one nine two dot one six eight dot zero dot one"),
+    ("+44 20 7946 zero nine five eight", "phone", "+44 20 7946 zero nine five eight"),
+    ("“plus 49 one five one 234567”", "phone", "plus 49 one five one 234567"),
     ("a​nn@exam​ple.org", "email", "nn@exam​ple.org"),
 ])
 def test_disguises_are_found_in_the_source(text, kind, hidden):
@@ -70,6 +74,16 @@ def test_quick_test_lets_disguised_runs_pass(text):
     assert pii.find(text, pii.may_spell(pa.array([text])).tolist()[0])[2] == f"phone:0:{len(text)}"
 
 
+def test_long_runs_of_digits():
+    text = "0" * 5000 + "1.2.3.4 " + "0" * 6000 + " " + "9" * 6000 + ".1.2.3"
+    assert pii.find(text)[2] == "ip:0:5007"
+
+
+def test_numbers_in_prose_are_left_alone():
+    for text in ("en plus 2019 2020 un", "one of 1234 5678 two", "deux point cinq, plus 3", "12 six 2020 - un 7"):
+        assert pii.find(text)[2] == "", text
+
+
 def test_bare_dot_in_any_case():
     assert pii.find("ann at mail dOt example doT org now")[2] == "email:0:31"
 
@@ -77,7 +91,7 @@ def test_bare_dot_in_any_case():
 def test_quick_test_never_loses_a_span():
     import pyarrow as pa
     rng = random.Random(12)
-    words = [*pii.DIGIT_OF, "plus", "plus", "7", "42", "dot", "(dot)", "[.]", "at", "x@y", "word"]
+    words = [*pii.DIGIT_OF, "plus", "plus", "7", "42", "dot", "(dot)", "[.]", "4111 1111", "192.168", "point", "“", "at", "x@y", "word"]
     seps = [" ", " ", " ", "-", ".", "\t", "  ", "\u200b", ", ", "(dot)", "\n"]
     back = {}
     for odd, plain in pii.LOOKALIKES.items():
