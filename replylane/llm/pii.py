@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame, functions as F
 from replylane.llm.words import Texts, chunks
 
 KINDS = ("email", "ip", "card", "phone")
-#: digits below which nothing is found, and items of a run with a spelled plus alone
-MIN_DIGITS, MIN_PLUS = 4, 7
+#: digits below which nothing is found, and items from which one spelled digit, or plus, is enough
+MIN_DIGITS, MIN_ITEMS = 4, 7
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
@@ -174,8 +174,8 @@ def _spell(rewritten: Rewritten) -> list[tuple[int, int, str]]:
         spelled = sum(not plain and new.isdigit() for *_, new, plain in items)
         signs = sum(new == "+" for *_, new, _ in items)
         digits = sum(len(new) for *_, new, _ in items if new.isdigit())
-        # "plus" is a common word: one number beside it in letters does not make it a sign
-        if len(items) < MIN_PLUS and (spelled < 1 + (signs > 0) or digits < MIN_DIGITS):
+        # one number in letters beside digits is prose ("… 1373 un autre") in a short run
+        if len(items) < MIN_ITEMS and (spelled < 2 or digits < MIN_DIGITS):
             continue
         if not spelled and not signs:
             continue
