@@ -7,18 +7,24 @@ that meets the bound is verified by an alignment confined to it. Texts and items
 as UTF-8 bytes with ASCII letters in lower case and blanks alike; k is ``RATE`` of the item's
 length, less where a short item would leave no q-gram to require.
 
-Defined results: null texts and items are empty; an item under ``Q`` bytes matches nothing;
-items of equal text each match; repeated rows of a document each give their matches; other
-columns are ignored; an empty benchmark matches nothing.
+Every occurrence of an item counts. Of those of one item that overlap, the one of least
+distance stands, then the first, then the shortest. An item under ``Q`` bytes has no q-gram
+and is searched as it is, as whole words.
+
+Defined results: null texts and items are empty, and an empty item matches nothing; items of
+equal text each match; repeated rows of a document each give their matches; other columns are
+ignored; an empty benchmark matches nothing.
 """
 
 from __future__ import annotations
 
+import bisect
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import BooleanType
 
 from replylane.llm.words import as_bytes
 
@@ -26,7 +32,7 @@ Q = 8
 RATE = 0.1
 BLOCK_BYTES = 4 << 20
 BLOCK_ITEMS = 20_000
-_PIECE = 4 << 20
+_PIECE = 512 << 10
 _FILTER_BITS = 20
 _COUNT_BITS = 20
 _ALIGNED = 256
@@ -34,6 +40,9 @@ _ALIGNED = 256
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 _FOLD[[9, 10, 11, 12, 13]] = 32
+#: bytes of letters, digits and of characters outside ASCII
+_LETTER = np.arange(256) >= 128
+_LETTER[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
 
 
 def _grams(data: np.ndarray) -> np.ndarray:
@@ -60,12 +69,15 @@ class Items:
     owner: np.ndarray
     place: np.ndarray
     seen: np.ndarray
+    #: items of fewer bytes than a gram: (id, bytes)
+    short: list[tuple[object, bytes]]
 
     @classmethod
     def build(cls, ids: list[int | None], column: pa.Array, rate: float = RATE) -> Items:
         data, offsets = as_bytes(column)
         texts = [_FOLD[data[a:b]] for a, b in zip(offsets[:-1], offsets[1:])]
         long_enough = [i for i, t in enumerate(texts) if len(t) >= Q]
+        short = [(ids[i], t.tobytes()) for i, t in enumerate(texts) if 0 < len(t) < Q]
         texts = [texts[i] for i in long_enough]
         sizes = np.array([len(t) for t in texts], np.int64)
         budget = np.minimum((sizes * rate).astype(np.int64), (sizes - Q) // Q)
@@ -79,7 +91,7 @@ class Items:
         seen[_slot(every)] = True
         return cls(np.array([ids[i] for i in long_enough], object), texts, budget,
                    sizes + 1 - Q - budget * Q, distinct, np.append(first, len(every)),
-                   owner[order], place[order], seen)
+                   owner[order], place[order], seen, short)
 
     def hits(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(place in data, item, place in item) of every shared q-gram."""
@@ -191,30 +203,75 @@ def _pieces(offsets: np.ndarray, reach: int):
         yield run
 
 
+def _whole_words(short: list[tuple[object, bytes]], data: np.ndarray, cuts: np.ndarray):
+    """(part, index, start, end) of exact occurrences of short items that no letter touches."""
+    lengths = sorted({len(t) for _, t in short})
+    if not lengths or not len(data):
+        return
+    part = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+    letter = _LETTER[data]
+    # the ends of a part are no letters
+    before = np.append(False, letter[:-1] & (part[1:] == part[:-1]))
+    after = np.append(letter[1:] & (part[1:] == part[:-1]), False)
+    for length in lengths:
+        if len(data) < length:
+            continue
+        code = np.zeros(len(data) - length + 1, np.uint64)
+        for k in range(length):
+            code = code << np.uint64(8) | data[k : k + len(code)]
+        free = ~before[: len(code)] & ~after[length - 1 :] & (part[: len(code)] == part[length - 1 :])
+        for index, (_, item) in enumerate(short):
+            if len(item) == length:
+                for at in np.flatnonzero(free & (code == np.uint64(int.from_bytes(item)))).tolist():
+                    yield int(part[at]), index, at, at + length
+
+
 def matches(items: Items, column: pa.Array) -> list[tuple[int, object, int, int, int]]:
-    """(row, item id, start, end, distance) of the best occurrence of each item in each text.
+    """(row, item id, start, end, distance) of every occurrence of each item in each text.
 
-    Pieces of long texts overlap by more than the longest occurrence.
+    Of occurrences of one item that overlap, the nearest stands, then the first, then the
+    shortest. Pieces of long texts overlap by more than the longest occurrence.
     """
     raw, offsets = as_bytes(column)
-    reach = 2 * max((len(t) + int(k) + 1 for t, k in zip(items.texts, items.budget)), default=0)
-    best: dict[tuple[int, int], tuple[int, int, int]] = {}
+    reach = 2 * max((len(t) + int(k) + 1 for t, k in zip(items.texts, items.budget)), default=Q)
+    found: dict[tuple[int, int], set[tuple[int, int, int]]] = {}
     for run in _pieces(offsets, reach):
         cuts = np.append(0, np.cumsum([end - begin for _, begin, end in run]))
         data = _FOLD[np.concatenate([raw[begin:end] for _, begin, end in run])]
+
+        def add(row: int, k: int, start: int, end: int, distance: int) -> None:
+            text, begin, _ = run[row]
+            shift = begin - int(offsets[text]) - int(cuts[row])
+            found.setdefault((text, k), set()).add((distance, start + shift, end + shift))
+
         part, item, first = _bands(items, data, cuts)
         for a in range(0, len(part), _ALIGNED):
             i, p, f = item[a : a + _ALIGNED], part[a : a + _ALIGNED], first[a : a + _ALIGNED]
-            found = align([items.texts[k] for k in i], data, f, 2 * (items.budget[i] + 1),
-                          cuts[p], cuts[p + 1])
-            for k, row, distance, start, end in zip(i.tolist(), p.tolist(), *map(np.ndarray.tolist, found)):
+            aligned = align([items.texts[k] for k in i], data, f, 2 * (items.budget[i] + 1),
+                            cuts[p], cuts[p + 1])
+            for k, row, distance, start, end in zip(i.tolist(), p.tolist(), *map(np.ndarray.tolist, aligned)):
                 if distance <= items.budget[k]:
-                    text, begin, _ = run[row]
-                    shift = begin - int(offsets[text]) - int(cuts[row])
-                    value = (distance, start + shift, end + shift)
-                    if value < best.get((text, k), (1 << 60, 0, 0)):
-                        best[text, k] = value
-    return [(t, items.ids[k], s, e, d) for (t, k), (d, s, e) in sorted(best.items())]
+                    add(row, k, start, end, distance)
+        for row, k, start, end in _whole_words(items.short, data, cuts):
+            # a cut inside a text is no border of a word
+            text, begin, stop = run[row]
+            if (start > cuts[row] or begin == offsets[text] or not _LETTER[raw[begin - 1]]) and (
+                end < cuts[row + 1] or stop == offsets[text + 1] or not _LETTER[raw[stop]]
+            ):
+                add(row, ~k, start, end, 0)
+    out = []
+    for (text, k), regions in sorted(found.items()):
+        item_id = items.ids[k] if k >= 0 else items.short[~k][0]
+        kept: list[tuple[int, int]] = []  # by start, apart from each other
+        chosen = []
+        for distance, start, end in sorted(regions):
+            at = bisect.bisect_left(kept, (start, end))
+            if (at and kept[at - 1][1] > start) or (at < len(kept) and kept[at][0] < end):
+                continue
+            kept.insert(at, (start, end))
+            chosen.append((text, item_id, start, end, distance))
+        out += sorted(chosen, key=lambda m: m[2])
+    return out
 
 
 def _blocks(benchmark: DataFrame):
@@ -268,12 +325,16 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, rate: float = RATE
         column = pa.array([r["text"] for r in rows], pa.string())
         ids = [r["item_id"] for r in rows]
         items = documents.sparkSession.sparkContext.broadcast(Items.build(ids, column, rate))
+        kept = kept.where(_is_clean(items)(F.col("text").cast("string")))
+    return kept
 
-        def run(batches, items=items):
-            for batch in batches:
-                clean = np.ones(batch.num_rows, bool)
-                clean[[row for row, *_ in matches(items.value, batch.column("text"))]] = False
-                yield batch.filter(pa.array(clean))
 
-        kept = kept.mapInArrow(run, documents.schema)
-    return kept
+def _is_clean(items):
+    """Whether no item occurs: only texts go to Python, and one bit a row comes back."""
+    @F.arrow_udf(BooleanType())
+    def is_clean(texts: pa.Array) -> pa.Array:
+        clean = np.ones(len(texts), bool)
+        clean[[row for row, *_ in matches(items.value, texts)]] = False
+        return pa.array(clean)
+
+    return is_clean

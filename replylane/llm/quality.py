@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import BooleanType
 
 from replylane.llm import labelled, linear
 from replylane.llm.linear import Logistic, logit, sigmoid
@@ -252,9 +253,13 @@ def score(documents: DataFrame, model: CoTrained, keep_at: float = KEEP_AT) -> D
 
 
 def keep_good(documents: DataFrame, model: CoTrained, keep_at: float = KEEP_AT) -> DataFrame:
-    """The rows the model keeps, with all their columns."""
-    def run(batches):
-        for batch in batches:
-            yield batch.filter(pa.array(model.views(batch)[2] >= keep_at))
+    """The rows the model keeps, with all their columns.
+
+    Only what the model reads goes to Python, and one bit a row comes back.
+    """
+    @F.arrow_udf(BooleanType())
+    def is_good(text: pa.Array, source: pa.Array, lang: pa.Array, n_chars: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([text, source, lang, n_chars], COLUMNS)
+        return pa.array(model.views(batch)[2] >= keep_at)
 
-    return documents.mapInArrow(run, documents.schema)
+    return documents.where(is_good(*[F.col(c) for c in COLUMNS]))

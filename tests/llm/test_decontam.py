@@ -31,7 +31,9 @@ def test_matches_are_those_of_the_plain_table():
         at = rng.randint(0, len(text))
         texts.append(text[:at] + "".join(item).upper() + text[at:])
     built = decontam.Items.build(list(range(len(items))), pa.array(items))
-    got = {(t, i): d for t, i, _, _, d in decontam.matches(built, pa.array(texts))}
+    got = {}
+    for t, i, _, _, d in decontam.matches(built, pa.array(texts)):
+        got[t, i] = min(d, got.get((t, i), d))
     want = {}
     for t, text in enumerate(texts):
         for i, item in enumerate(items):
@@ -40,7 +42,28 @@ def test_matches_are_those_of_the_plain_table():
                 d = distance(item, (text or "").lower())
                 if d <= k:
                     want[t, i] = d
-    assert got == want and any(want.values())
+    assert {k: d for k, d in got.items() if len(items[k[1]]) >= decontam.Q} == want and any(want.values())
+    assert {k for k in got if items[k[1]] == "short"} == {(2, 12)}
+
+
+def test_every_occurrence_counts():
+    item = "the quick brown fox jumps over it"
+    near = item.replace("brown", "brwn")
+    text = f"{item} {near}. {item}"
+    built = decontam.Items.build([1, 2, 3], pa.array([item, "fox", "o"]))
+    found = decontam.matches(built, pa.array([text, "a foxy box, FOX: o", None]))
+    assert [m[2:] for m in found if m[:2] == (0, 1)] == [
+        (0, len(item), 0), (len(item) + 1, len(item) + 1 + len(near), 1),
+        (len(text) - len(item), len(text), 0)]
+    assert [m[2:] for m in found if m[1] == 2] == [(i, i + 3, 0) for i in range(len(text)) if text.startswith("fox", i)] + [(12, 15, 0)]
+    assert [m for m in found if m[1] == 3] == [(1, 3, 17, 18, 0)]
+
+
+def test_short_items_at_cuts_of_long_texts(monkeypatch):
+    monkeypatch.setattr(decontam, "_PIECE", 64)
+    built = decontam.Items.build([1], pa.array(["ab"]))
+    text = "xab ab " * 100
+    assert [m[2] for m in decontam.matches(built, pa.array([text]))] == [7 * i + 4 for i in range(100)]
 
 
 def test_spans_hold_the_item_in_long_texts(monkeypatch):
