@@ -41,6 +41,9 @@ BLOCK = 2_048
 #: words, and states of the scan, that a task holds at a time
 CHUNK_WORDS, CHUNK_STATES = 1 << 14, 1 << 20
 
+#: words of the vocabulary for each task of the scan
+TASK_WORDS = 50_000
+
 _FAR = 2
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -248,7 +251,9 @@ def _scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def near_words(words: DataFrame, block: int = BLOCK) -> DataFrame:
     """Per word (word, n) with near ones: n_near, and the most frequent one, form with form_n."""
     rows = blocks(words, block).select("key", "size", "lo", "hi", "word", "n")
-    sorted_list = rows.repartition("key").sortWithinPartitions("key", "word")
+    # a few bytes of words are much work, so the tasks are set by rows
+    tasks = max(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), words.count() // TASK_WORDS)
+    sorted_list = rows.repartition(tasks, "key").sortWithinPartitions("key", "word")
     part = sorted_list.mapInArrow(_scan_batches, "word string, n_near long, form_n long, form string")
     best = F.min(F.struct((-F.col("form_n")).alias("n"), "form")).alias("best")
     return part.groupBy("word").agg(F.sum("n_near").alias("n_near"), best).select(
