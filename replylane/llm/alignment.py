@@ -30,7 +30,10 @@ from __future__ import annotations
 import heapq
 import json
 import os
+import re
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -56,6 +59,11 @@ TOGETHER = 8
 RUN_RECORDS, RUN_DOCUMENTS = 1 << 20, 1 << 20
 SLICE_BYTES = 1 << 20
 BLOCK_RECORDS = 1 << 14
+#: parts of texts that a task remembers, and the longest of them
+KNOWN_PARTS, KNOWN_LENGTH = 200_000, 64
+
+_APART = re.compile(r"(?<=\S) (?=\S)")
+_INNER_BLANK = re.compile("[^▁]▁")
 
 DOCUMENTS = pa.schema([
     ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()),
@@ -164,6 +172,13 @@ class Pairs:
                 yield part, keys[here], values[here]
 
 
+def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of consecutive runs of so many values."""
+    ends = np.cumsum(counts)
+    total = np.append(0, np.cumsum(values, dtype=np.int64))
+    return total[ends] - total[ends - counts]
+
+
 def _mark(text: str) -> pa.Scalar:
     return pa.scalar(text, pa.large_string())
 
@@ -215,30 +230,37 @@ class Aligner:
         self.a, self.b = Tokens(_byte_entries(file_a)), Tokens(_piece_entries(self.encode_b))
         self.pairs = Pairs(len(self.a.lengths), len(self.b.lengths))
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(place, A ids, B ids) of the texts that both give back."""
-        filled = [i for i, text in enumerate(texts) if text]
-        spaced = [" " + texts[i] for i in filled]
-        for i, text, a, b in zip(
-            filled, spaced, self.encode_a.encode_batch_fast(spaced, add_special_tokens=False),
-            self.encode_b.encode([texts[i] for i in filled], num_threads=1),
-        ):
-            a, b = np.array(a.ids, np.int64), np.array(b, np.int64)
-            data = np.frombuffer(text.encode(), np.uint8)
-            if all(np.array_equal(side.spell(ids), data) for side, ids in ((self.a, a), (self.b, b))):
-                yield i, a, b
-
-    def align(self, texts: list[str]) -> tuple[dict[str, np.ndarray | pa.Array], np.ndarray, np.ndarray, np.ndarray]:
-        """Columns of the documents, and all links as (document, pair number), with their places."""
+    def encode(self, texts: list[str]):
+        """Which texts both give back, and for these: flat A and B ids, and how many of each."""
+        filled = np.array([bool(text) for text in texts], bool)
+        spaced = [" " + text for text in texts if text]
+        ids_a = [e.ids for e in self.encode_a.encode_batch_fast(spaced, add_special_tokens=False)]
+        ids_b = self.encode_b.encode([text for text in texts if text], num_threads=1)
+        written = [text.encode() for text in spaced]
+        size = np.array([len(w) for w in written], np.int64)
+        flat, count, whole = [], [], np.ones(len(spaced), bool)
+        for side, ids in ((self.a, ids_a), (self.b, ids_b)):
+            flat.append(np.fromiter(chain.from_iterable(ids), np.int64))
+            count.append(np.array([len(i) for i in ids], np.int64))
+            whole &= _sums(side.lengths[flat[-1]], count[-1]) == size
+        data = np.frombuffer(b"".join(w for w, k in zip(written, whole.tolist()) if k), np.uint8)
+        for side, ids, n in zip((self.a, self.b), flat, count):
+            same = side.spell(ids[np.repeat(whole, n)]) == data
+            whole[whole] = _sums(~same, size[whole]) == 0
+            if not whole.all():
+                # compare the other side with what is left
+                data = np.frombuffer(b"".join(w for w, k in zip(written, whole.tolist()) if k), np.uint8)
+        flat = [ids[np.repeat(whole, n)] for ids, n in zip(flat, count)]
+        filled[filled] = whole
+        return filled, *flat, *(n[whole] for n in count)
+
+    def align(self, texts: list[str]) -> Aligned:
+        """The tokens of texts, each encoded as a whole."""
         count = len(texts)
-        held = list(self.encode(texts))
-        places = np.array([i for i, _, _ in held], np.int64)
-        none = np.zeros(0, np.int64)
-        a = np.concatenate([none, *(a for _, a, _ in held)])
-        b = np.concatenate([none, *(b for _, _, b in held)])
+        whole, a, b, many_a, many_b = self.encode(texts)
+        last_a, last_b = np.cumsum(many_a), np.cumsum(many_b)
+        held = int(whole.sum())
         ends_a, ends_b = np.cumsum(self.a.lengths[a]), np.cumsum(self.b.lengths[b])
-        last_a = np.cumsum([len(a) for _, a, _ in held], dtype=np.int64)
-        last_b = np.cumsum([len(b) for _, _, b in held], dtype=np.int64)
         stops = ends_a[last_a - 1]  # where each document ends, in bytes
         # between two neighbouring ends, of either side, lies what one A and one B token share
         cuts = np.union1d(ends_a, ends_b)
@@ -249,7 +271,7 @@ class Aligner:
 
         def spread(values):
             out = np.zeros(count, np.int64)
-            out[places] = values
+            out[whole] = values
             return out
 
         def written(side, ids, ends):
@@ -259,16 +281,87 @@ class Aligner:
             )
 
         groups = pc.binary_join_element_wise(written(self.a, a, ends_a), written(self.b, b, ends_b), _mark("|"))
-        per_document = spread(np.bincount(group_of, minlength=len(held)))
+        per_document = spread(np.bincount(group_of, minlength=held))
         joined = pc.binary_join(
             pa.LargeListArray.from_arrays(np.append(0, np.cumsum(per_document)), groups), _mark(";")
         )
-        columns = {
-            "n_a": spread(np.diff(last_a, prepend=0)), "n_b": spread(np.diff(last_b, prepend=0)),
-            "n_groups": per_document, "n_links": spread(np.bincount(document, minlength=len(held))),
-            "groups": joined,
-        }
-        return columns, places, document, self.pairs.number(a[link_a], b[link_b])
+        return Aligned(
+            whole, spread(many_a), spread(many_b), per_document, joined,
+            spread(np.bincount(document, minlength=held)), self.pairs.number(a[link_a], b[link_b]),
+        )
+
+
+@dataclass
+class Aligned:
+    """Of texts: whether both vocabularies give them back, and if so what their tokens are."""
+
+    whole: np.ndarray
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    groups: pa.Array
+    n_links: np.ndarray
+    #: the pair numbers of all links, text by text
+    links: np.ndarray
+
+
+class Parts:
+    """Texts aligned part by part, with the parts remembered.
+
+    A blank between two characters that are not white space always begins a token of either
+    vocabulary, whatever stands around: A splits there before it merges, and no piece of B
+    holds a blank behind another character, which is checked. So a group ends there too, and
+    what stands between two such blanks can be encoded and aligned by itself.
+    """
+
+    def __init__(self, aligner: Aligner):
+        pieces = map(aligner.encode_b.id_to_piece, range(aligner.encode_b.get_piece_size()))
+        if any(_INNER_BLANK.search(piece) for piece in pieces):
+            raise ValueError("pieces with a blank inside cannot be aligned part by part")
+        self.aligner = aligner
+        self.known: dict[str, tuple] = {}
+
+    def _learn(self, parts: list[str]) -> Iterator[tuple[str, tuple]]:
+        found = self.aligner.align(parts)
+        links = found.links.tobytes()
+        ends = (8 * np.cumsum(found.n_links)).tolist()
+        yield from zip(parts, zip(
+            found.whole.tolist(), found.n_a.tolist(), found.n_b.tolist(), found.n_groups.tolist(),
+            found.groups.to_pylist(), found.n_links.tolist(),
+            [links[a:b] for a, b in zip([0, *ends], ends)],
+        ))
+
+    def align(self, texts: list[str]) -> Aligned:
+        split = [_APART.split(text) if text else [] for text in texts]
+        counts = np.array([len(parts) for parts in split], np.int64)
+        if len(self.known) > KNOWN_PARTS:
+            self.known.clear()
+        place = {part: i for i, part in enumerate(dict.fromkeys(p for parts in split for p in parts))}
+        fresh = dict(self._learn([p for p in place if p not in self.known]))
+        self.known.update((p, row) for p, row in fresh.items() if len(p) <= KNOWN_LENGTH)
+        rows = [fresh[p] if p in fresh else self.known[p] for p in place]
+        whole, n_a, n_b, n_groups, groups, n_links, links = zip(*rows) if rows else [()] * 7
+        of = np.array([place[p] for parts in split for p in parts], np.int64)
+        text_of = np.repeat(np.arange(len(texts)), counts)
+        good = counts > 0
+        good[text_of[~np.array(whole, bool)[of]]] = False
+        of, text_of = of[good[text_of]], text_of[good[text_of]]
+
+        def total(values) -> np.ndarray:
+            return np.bincount(text_of, np.array(values, np.int64)[of], len(texts)).astype(np.int64)
+
+        each = np.array(n_links, np.int64)
+        starts, many = (np.cumsum(each) - each)[of], each[of]
+        ends = np.cumsum(many)
+        at = np.repeat(starts - (ends - many), many) + np.arange(ends[-1] if len(of) else 0)
+        per_text = np.bincount(text_of, minlength=len(texts))
+        joined = pc.binary_join(pa.LargeListArray.from_arrays(
+            np.append(0, np.cumsum(per_text)), pa.array(groups, pa.large_string()).take(pa.array(of))
+        ), _mark(";"))
+        return Aligned(
+            good, total(n_a), total(n_b), total(n_groups), joined, total(n_links),
+            np.frombuffer(b"".join(links), np.int64)[at],
+        )
 
 
 class Spill:
@@ -291,17 +384,20 @@ class Spill:
         options = pa.ipc.IpcWriteOptions(compression="zstd")
         self.stream = pa.ipc.new_stream(self.sink, DOCUMENTS, options=options)
 
-    def add(self, doc_ids: pa.Array, columns: dict, places: np.ndarray, document: np.ndarray, numbers: np.ndarray):
-        place = np.full(len(doc_ids), -1, np.int64)
-        place[places] = self.documents + np.arange(len(places))
-        self.stream.write_batch(pa.RecordBatch.from_pydict(
-            {"doc_id": doc_ids, **columns, "place": place}, DOCUMENTS
-        ))
-        keys, counts = np.unique((numbers << self.pairs.shift) + self.documents + document, return_counts=True)
+    def add(self, doc_ids: pa.Array, found: Aligned) -> None:
+        place = np.where(found.whole, self.documents + np.cumsum(found.whole) - 1, -1)
+        self.stream.write_batch(pa.RecordBatch.from_pydict({
+            "doc_id": doc_ids, "n_a": found.n_a, "n_b": found.n_b, "n_groups": found.n_groups,
+            "n_links": found.n_links, "groups": found.groups, "place": place,
+        }, DOCUMENTS))
+        of = np.repeat(place, found.n_links)
+        keys = np.sort((found.links << self.pairs.shift) + of)
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else keys
+        keys, counts = keys[first], np.diff(np.append(first, len(keys)))
         self.keys.append(keys)
         self.counts.append(counts)
         self.records += len(keys)
-        self.documents += len(places)
+        self.documents += int(found.whole.sum())
         self.rows += len(doc_ids)
 
     def full(self) -> bool:
@@ -343,8 +439,8 @@ def spill(documents: DataFrame, folder: str, shipped) -> DataFrame:
     """Align all documents and write runs to ``folder``; the list (path, rows) of them."""
 
     def run(batches):
-        aligner = Aligner(*shipped.value)
-        out = Spill(folder, aligner.pairs)
+        parts = Parts(Aligner(*shipped.value))
+        out = Spill(folder, parts.aligner.pairs)
         done: list[tuple[str, int]] = []
         for batch in batches:
             texts = pc.fill_null(batch.column("text"), "")
@@ -354,7 +450,7 @@ def spill(documents: DataFrame, folder: str, shipped) -> DataFrame:
                 before = sizes[first - 1] if first else 0
                 last = max(first + 1, int(np.searchsorted(sizes, before + SLICE_BYTES, "right")))
                 part = slice(first, last)
-                out.add(batch.column("doc_id")[part], *aligner.align(texts[part].to_pylist()))
+                out.add(batch.column("doc_id")[part], parts.align(texts[part].to_pylist()))
                 first = last
                 if out.full():
                     done.append(out.close())
