@@ -11,7 +11,8 @@ No leaf is ever sorted as a whole. Tokens are summed by the leading digits of th
 shows the digits on which the prefix ends; only documents on those are ranked.
 
 Tokens are words. Defined results: a null domain, language or source is the empty string; a
-null text has no tokens; a leaf without tokens has no budget and takes no document; equal
+null text has no tokens; a leaf without tokens, or of weight 0 at any level, has no budget and
+takes no document; texts of any length count whole; equal
 order keys go by document id and text digest, so repeated rows are taken one by one; an empty
 table gives no rows. Columns of the documents are passed on; ``epoch``,
 ``n_tokens`` and ``domain`` are added, with underscores before names that are taken.
@@ -24,6 +25,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from replylane.operators.shape import join_small
 from replylane.staging import stage
 
 DIGITS = 4
@@ -32,7 +34,7 @@ WORD = "[^ \\t\\n\\x0B\\f\\r]+"
 
 @dataclass(frozen=True)
 class Target:
-    """Relative weights by name at each level; ``other`` for a name not listed."""
+    """Relative weights by name at each level, 0 to leave a name out; ``other`` for one not listed."""
 
     domains: Mapping[str, int] = field(default_factory=dict)
     languages: Mapping[str, int] = field(default_factory=dict)
@@ -60,19 +62,23 @@ def share_out(children: DataFrame, parents: list[str], name: str) -> DataFrame:
     """``budget`` of each child from its parent's ``total``, by ``weight`` up to ``capacity``.
 
     Sorted by capacity over weight, the children whose capacity is below their share come
-    first; the rest divide what these leave. Sums run over the children of one node.
+    first; the rest divide what these leave. Sums run over the children of one node. A child
+    of weight 0 has no budget, and its siblings share what it leaves.
     """
-    order = W.partitionBy(*parents).orderBy(F.col("capacity") / F.col("weight"), name)
+    zero = F.col("weight") <= 0
+    children = children.withColumn("_room", F.when(zero, F.lit(0)).otherwise(F.col("capacity")))
+    steep = F.when(zero, F.lit(0.0)).otherwise(F.try_divide(F.col("capacity"), F.col("weight")))
+    order = W.partitionBy(*parents).orderBy(zero.desc(), steep, name)
     rest = order.rowsBetween(0, W.unboundedFollowing)
-    before = F.coalesce(F.sum("capacity").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    level = (F.col("total") - before).cast("double") / F.sum("weight").over(rest)
-    full = children.withColumn("_full", F.col("capacity") <= level * F.col("weight"))
+    before = F.coalesce(F.sum("_room").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    level = F.try_divide((F.col("total") - before).cast("double"), F.sum("weight").over(rest))
+    full = children.withColumn("_full", zero | (F.col("_room") <= level * F.col("weight")))
     whole = W.partitionBy(*parents)
-    used = F.coalesce(F.sum(F.when(F.col("_full"), F.col("capacity"))).over(whole), F.lit(0))
+    used = F.coalesce(F.sum(F.when(F.col("_full"), F.col("_room"))).over(whole), F.lit(0))
     open_weight = F.sum(F.when(~F.col("_full"), F.col("weight"))).over(whole)
-    share = (F.col("total") - used).cast("double") / open_weight * F.col("weight")
-    budget = F.when(F.col("_full"), F.col("capacity")).otherwise(F.floor(share).cast("long"))
-    return full.withColumn("budget", budget).drop("_full", "total")
+    share = F.try_divide((F.col("total") - used).cast("double"), open_weight) * F.col("weight")
+    budget = F.when(F.col("_full"), F.col("_room")).otherwise(F.floor(share).cast("long"))
+    return full.withColumn("budget", budget.cast("long")).drop("_full", "_room", "total")
 
 
 def budgets(leaves: DataFrame, target: Target) -> DataFrame:
@@ -134,7 +140,7 @@ def mix(
     )
     # Written, so that its size is known when it is joined: it is broadcast only if small.
     plan = stage(plan.where("full > 0 or rest > 0"), "mix-budgets")
-    ordered = keyed.join(plan, leaf).withColumn("key", _order(target, F.col("full") + 1))
+    ordered = join_small(keyed, plan, leaf).withColumn("key", _order(target, F.col("full") + 1))
     ordered = ordered.withColumn("digits", F.substring("key", 1, DIGITS))
     by_digits = ordered.groupBy(*leaf, "digits").agg(
         F.sum("tokens").alias("sum"), F.first("rest").alias("rest")
@@ -149,7 +155,7 @@ def mix(
         .withColumnRenamed("digits", "edge")
     )
     plan = stage(plan.join(cut, leaf, "left"), "mix-plan")
-    rows = keyed.join(plan, leaf).withColumn("key", _order(target, F.col("full") + 1))
+    rows = join_small(keyed, plan, leaf).withColumn("key", _order(target, F.col("full") + 1))
     digits = F.substring("key", 1, DIGITS)
     on_edge = F.coalesce(digits == F.col("edge"), F.lit(False))
     inside = F.when(F.col("edge").isNull() | (digits < F.col("edge")), 1).otherwise(0)

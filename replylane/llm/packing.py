@@ -20,6 +20,7 @@ rows; other columns are ignored.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +37,9 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END = 50256
 CONTEXT = 2048
 BLOCK_TOKENS = 2 << 20
-KNOWN_PARTS = 200_000
+#: parts that a task remembers, and the longest of them
+KNOWN_PARTS, KNOWN_LENGTH = 200_000, 64
+_APART = re.compile(r"(?<=\S) (?=\S)")
 
 SEGMENTS = pa.schema([
     ("n_tokens", pa.int32()), ("doc_ids", pa.list_(pa.int64())),
@@ -48,9 +51,9 @@ SEGMENTS = pa.schema([
 class Tokeniser(dict):
     """Ids of a text as bytes of 16-bit numbers, remembering the parts between blanks.
 
-    A blank between two other characters always begins a piece of the pattern, so the parts
-    can be encoded one by one; only runs of blanks go beyond a part, and texts with one are
-    encoded as a whole.
+    A blank between two characters that are not white space always begins a piece of the
+    pattern, so the parts between such blanks can be encoded one by one; all other white space
+    stays inside a part.
     """
 
     def __init__(self, vocabulary: str):
@@ -69,13 +72,12 @@ class Tokeniser(dict):
         if len(self) >= KNOWN_PARTS:
             self.clear()
         ids = self.whole(" " + part)
-        self[part] = ids
+        if len(part) <= KNOWN_LENGTH:
+            self[part] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
-        if "  " in text:
-            return self.whole(text)
-        first, *rest = text.split(" ")
+        first, *rest = _APART.split(text)
         return self.whole(first) + b"".join(map(self.__getitem__, rest))
 
 

@@ -74,3 +74,15 @@ def test_repeated_rows_and_empty_tables(spark):
     assert mixing.mix(df.limit(0)).count() == 0
     blank = spark.createDataFrame([(1, None, "en", "s", 0)], df.schema)
     assert mixing.mix(blank).count() == 0
+
+
+def test_weight_zero_leaves_out(spark):
+    rows = [(i, "a b c", lang, src) for i, (lang, src) in enumerate([("en", "s1"), ("en", "s2"), ("de", "s1"), ("de", "s3")] * 5)]
+    rows.append((99, "word " * 60_000, "en", "s2"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    zero = mixing.Target(sources={"s1": 0}, languages={"fr": 0}, max_epochs=1)
+    assert {r.source for r in mixing.mix(df, zero).collect()} == {"s2", "s3"}
+    assert {r.lang for r in mixing.mix(df, mixing.Target(languages={"de": 0})).collect()} == {"en"}
+    assert mixing.mix(df, mixing.Target(other=0)).count() == 0
+    # what is left out is not taken from the others
+    assert mixing.mix(df, mixing.Target(languages={"de": 0}, max_epochs=1)).count() == 11
