@@ -13,7 +13,7 @@ def tokeniser():
 
 def test_remembered_parts_change_nothing(tokeniser):
     rng = random.Random(1)
-    parts = ["word", "Über", "it's", "12,5", "\n", "\t", " ", "  ", "###", "don't", "x\ny", "\n\n", "é", " ", "<|endoftext|>"]
+    parts = ["word", "Über", "it's", "12,5", "\n", "\t", " ", "  ", "###", "don't", "x\ny", "\n\n", "é", "\u00a0", "\u2003", "\r", "\x1c", "\x85", "\u3000", "<|endoftext|>"]
     for _ in range(2):
         for _ in range(500):
             text = "".join(rng.choice(parts) + rng.choice(["", " "]) for _ in range(rng.randint(0, 12)))
