@@ -31,6 +31,11 @@ def _regex(*patterns: str) -> str:
     return "(?Ud)" + "|".join(parts)
 
 
+def java_regex(pattern: str) -> str:
+    """The expression by which one pattern is searched in a lower-cased text."""
+    return _regex(pattern)
+
+
 def _any(lowered: Column, patterns: tuple[str, ...]) -> Column:
     """Whether any pattern is found; one with a back-reference keeps a regex of its own."""
     alone = [p for p in patterns if re.search(r"\\[1-9k]", p)]
@@ -54,7 +59,9 @@ class RuleSet:
         """Read a ``priority, label, pattern`` table, which is metadata of bounded size."""
         rows = table.orderBy("priority", "label", "pattern").limit(MAX_RULES + 1).collect()
         if len(rows) > MAX_RULES:
-            raise ValueError(f"more than {MAX_RULES} rule patterns")
+            raise ValueError(
+                f"more than {MAX_RULES} rule patterns in one expression; see operators.rulematch"
+            )
         grouped: dict[tuple[int, str], list[str]] = {}
         for row in rows:
             grouped.setdefault((row["priority"], row["label"]), []).append(row["pattern"])
