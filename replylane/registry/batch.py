@@ -494,22 +494,8 @@ def model_metadata(spark: SparkSession, sf: str) -> DataFrame:
     return done.select("n_train", sound.alias("accuracy_in_range"))
 
 
-def model_round_trip(spark: SparkSession, sf: str) -> DataFrame:
-    """Golden rows on which a saved and loaded model differs from the one in memory."""
-    model, path = inputs.language_model(spark, sf), new_path(spark, "model")
-    model.save(spark, path)
-    rows = inputs.language_golden(spark, sf).select("pair_id", "customer_clean")
-    loaded = training.IntentModel.load(spark, path).classify(rows, "customer_clean")
-    kept = model.classify(rows, "customer_clean")
-    both = kept.select("pair_id", "intent", "confidence").exceptAll(
-        loaded.select("pair_id", "intent", "confidence")
-    ).groupBy("pair_id").agg(F.count("*").alias("n"))
-    return rows.join(both, "pair_id", "left").select("pair_id", F.coalesce("n", F.lit(0)).alias("differs"))
-
-
 def _scored_terms(model: training.IntentModel, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(pair_id, at, value) of the vectors of rows, and (label, at, weight) of the model."""
-    vectors = model.vectors.with_vector(rows, "customer_clean", "v")
     spark = rows.sparkSession
     weights = model.regression.coefficientMatrix.toArray()
     table = pa.table({
@@ -517,37 +503,12 @@ def _scored_terms(model: training.IntentModel, rows: DataFrame) -> tuple[DataFra
         "at": pa.array(list(range(weights.shape[1])) * len(model.labels), pa.int32()),
         "weight": pa.array(weights.ravel()),
     })
-    entries = F.filter(
-        F.transform(vector_to_array("v"), lambda x, i: F.struct(i.alias("at"), x.alias("value"))),
-        lambda e: e["value"] != 0,
-    )
-    terms = vectors.select("pair_id", F.explode(entries).alias("e")).select("pair_id", "e.*")
+    arrays = model.vectors.with_arrays(rows.select("pair_id", "customer_clean"), "customer_clean")
+    entries = arrays.select("pair_id", F.explode(F.arrays_zip("term_ids", "weights")).alias("e"))
+    terms = entries.select("pair_id", F.col("e.term_ids").alias("at"), F.col("e.weights").alias("value"))
     return terms, spark.createDataFrame(table)
 
 
-def score_agreement(spark: SparkSession, sf: str) -> DataFrame:
-    """Gap between the model's confidence and a softmax of sums taken by joins, golden rows."""
-    model = inputs.language_model(spark, sf)
-    rows = inputs.language_golden(spark, sf).select("pair_id", "customer_clean")
-    terms, weights = _scored_terms(model, rows)
-    sums = terms.join(weights, "at").groupBy("pair_id", "label").agg(
-        F.sum(F.col("value") * F.col("weight")).alias("score")
-    )
-    offsets = zip(model.labels, model.regression.interceptVector.toArray().tolist())
-    every = rows.select("pair_id", F.explode(F.array(*[
-        F.struct(F.lit(label).alias("label"), F.lit(value).alias("intercept")) for label, value in offsets
-    ])).alias("o")).select("pair_id", "o.*")
-    scores = every.join(sums, ["pair_id", "label"], "left").withColumn(
-        "score", F.coalesce("score", F.lit(0.0)) + F.col("intercept")
-    )
-    top = scores.groupBy("pair_id").agg(
-        (F.exp(F.max("score")) / F.sum(F.exp("score"))).alias("p")
-    )
-    scored = model.classify(rows, "customer_clean").select("pair_id", "confidence")
-    gap = F.round(F.abs(F.col("confidence") - F.col("p")), 6)
-    return scored.join(top, "pair_id").select("pair_id", gap.alias("gap"))
-
-
 def model_gradient(spark: SparkSession, sf: str) -> DataFrame:
     """Largest entry of the loss gradient of each label, over the inverse penalty and weights.
 
@@ -699,7 +660,7 @@ QUERIES = {
         tfidf_vocab, tfidf_weights, retrieve_topk, retrieve_fallback,
         template_reply, triage, grounding_prompt, judge_prompt, external_replies,
         judge_parse, judge_means, judge_vs_human, judge_kappa,
-        train_model, model_metadata, model_round_trip, score_agreement, model_gradient,
+        train_model, model_metadata, model_gradient,
         classify_scores, top_terms, evaluate_intents, evaluate_baselines, evaluate_escalations,
         model_report, model_matrix, model_predictions,
         triage_model, stream_decisions, stream_triage,

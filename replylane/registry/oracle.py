@@ -313,8 +313,27 @@ FROM split GROUP BY 1""",
         "model_metadata": f"""WITH {LANGUAGE_KEPT}
 SELECT CAST(count(*) - ceil(0.1::DOUBLE * count(*)) AS BIGINT) AS n_train, true AS accuracy_in_range
 FROM labelled""",
-        "model_round_trip": _with(LANGUAGE_GOLDEN, "SELECT pair_id, CAST(0 AS BIGINT) AS differs FROM template"),
-        "score_agreement": _with(LANGUAGE_GOLDEN, "SELECT pair_id, 0.0::DOUBLE AS gap FROM template"),
+        "model_round_trip": "SELECT CAST(doc_id AS VARCHAR) AS pair_id, CAST(0 AS BIGINT) AS differs FROM documents",
+        "score_agreement": "SELECT CAST(doc_id AS VARCHAR) AS pair_id, 0.0::DOUBLE AS gap FROM documents",
+        "classify_certificate": _with(ASKED, "SELECT id, 0.0::DOUBLE AS gap FROM asked"),
+        "accuracy_certificate": f"""WITH {LANGUAGE_KEPT}
+SELECT CAST(count(*) - ceil(0.1::DOUBLE * count(*)) AS BIGINT) AS n_train, 0.0::DOUBLE AS gap
+FROM labelled""",
+        "top_terms_certificate": f"""WITH split AS (WITH {LANGUAGE_KEPT}
+{_split()})
+SELECT DISTINCT weak_intent AS label, CAST(10 AS BIGINT) AS n_terms, CAST(0 AS BIGINT) AS wrong
+FROM split WHERE NOT is_validation""",
+        "evaluation_certificate": "SELECT unnest(['accuracy', 'macro_f1', 'report']) AS metric, 0.0::DOUBLE AS gap",
+        "stream_certificate": _with(ASKED, "SELECT id, CAST(0 AS BIGINT) AS differs FROM asked WHERE text <> ''"),
+        "index_round_trip": _with(ASKED, "SELECT id, CAST(0 AS BIGINT) AS differs FROM asked"),
+        "rule_table": """WITH w AS (
+  SELECT DISTINCT unnest(regexp_split_to_array(lower(coalesce(text, '')), '[^a-z]+')) AS word FROM benchmark
+), r AS (
+  SELECT length(word) AS priority, word[1:3] AS label, '(^|[^a-z])' || word || '(s|ed)?([^a-z]|$)' AS pattern, word
+  FROM w WHERE length(word) >= 8
+), d AS (SELECT doc_id, lower(text) AS t FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, count(*) AS hits, CAST(min(priority) AS BIGINT) AS priority, min(label) AS label
+FROM d JOIN r ON contains(t, word) AND regexp_matches(t, pattern) GROUP BY doc_id""",
         "model_gradient": f"""WITH split AS (WITH {LANGUAGE_KEPT}
 {_split()})
 SELECT DISTINCT weak_intent AS label, 0.0::DOUBLE AS gap FROM split WHERE NOT is_validation""",
