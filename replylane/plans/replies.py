@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from replylane.functions.drafting import judge_prompt
+from replylane.operators.exchange import Exchange, prompt_key
 from replylane.operators.judging import (
     judge_kappa, judge_means, judged_replies, mean_difference, with_human,
 )
@@ -40,6 +41,20 @@ def judge_requests(
     )
 
 
+def ask_judge(requests: DataFrame, exchange: Exchange) -> DataFrame:
+    """The prompts (prompt_key, prompt) of ``judge_requests`` that still need an answer."""
+    return exchange.ask(requests.withColumn("prompt_key", prompt_key(F.col("prompt"))))
+
+
+def judge_answered(
+    requests: DataFrame, exchange: Exchange, human: DataFrame | None = None
+) -> Judgement:
+    """``judge`` over the answers there are by now; what has none yet is left out."""
+    keyed = requests.withColumn("prompt_key", prompt_key(F.col("prompt")))
+    answered = exchange.results(keyed).where("response is not null").select("pair_id", "response")
+    return judge(requests, answered, human)
+
+
 def judge(requests: DataFrame, responses: DataFrame, human: DataFrame | None = None) -> Judgement:
     """Scores from the judge's answers (pair_id, response), and agreement with people's."""
     scores = stage(judged_replies(requests, responses), "scores")

@@ -236,7 +236,8 @@ drafted AS (SELECT d.*, retrieved, block,
 
 
 def _with(ctes: str, select: str) -> str:
-    return f"WITH {ctes}\n{select}"
+    """A statement over these tables; a select that begins with a comma adds its own."""
+    return f"WITH {ctes}{select}" if select.startswith(",") else f"WITH {ctes}\n{select}"
 
 
 def statements() -> dict[str, str]:
@@ -401,18 +402,15 @@ SELECT DISTINCT weak_intent AS label, 0.0::DOUBLE AS gap FROM split WHERE NOT is
                "neither they nor the message holds:\n"), "block",
             _q("\n\nReturn the reply text alone, at most 280 characters, brief and kind."),
         )) + ")) AS prompt_md5 FROM drafted"),
-        "judge_prompt": _with(DRAFTED, "SELECT id, md5(concat(" + ", ".join((
-            _q(f'Grade a draft reply of the {inputs.BRAND} support desk.\nMessage: "'), "text",
-            _q('"\nCases it was grounded in:\n'), "coalesce(nullif(block, ''), '(none retrieved)')",
-            _q('\nDraft: "'), "draft_reply",
-            _q('"\nGive whole scores from 1 (poor) to 5 (excellent):\n'
-               "- grounded: invents no facts beyond the message and the cases\n"
-               "- relevant: speaks to what the customer asked\n"
-               "- tone: professional and empathetic\n"
-               "- actionable: names a clear and correct next step\n"
-               'Answer with one JSON object: {"grounded": n, "relevant": n, "tone": n, '
-               '"actionable": n, "notes": "one sentence"}'),
-        )) + ")) AS prompt_md5 FROM drafted"),
+        "judge_prompt": _with(DRAFTED, f"SELECT id, {_judge_prompt()} AS prompt_md5 FROM drafted"),
+        "judge_replies": _with(DRAFTED, f""", p AS (SELECT id, {_judge_prompt()} AS k FROM drafted),
+d AS (SELECT id, list_transform(range(1, 5), lambda i: CAST(('0x' || k[i]) AS BIGINT)) AS d FROM p),
+m AS (SELECT id, unnest([{{'dimension': 'grounded', 'm': 1 + d[1] / 4}}, {{'dimension': 'relevant', 'm': d[2] % 5 + 1}},
+  {{'dimension': 'tone', 'm': d[3] % 5 + 1}}, {{'dimension': 'actionable', 'm': d[4] % 5 + 1}}], recursive := true) FROM d),
+h AS (SELECT doc_id, 5 - 4 * max(toxic) AS kind, 1 + 4 * max(quality) AS good FROM labels GROUP BY 1)
+SELECT dimension, round(avg(m), 6) AS mean_score, count(kind) AS n_human,
+  round(avg(abs(m - CASE WHEN dimension = 'tone' THEN kind ELSE good END)), 6) AS mean_abs_diff
+FROM m LEFT JOIN h ON doc_id = CAST(id AS BIGINT) // 1000 GROUP BY 1"""),
         "external_replies": _with(DRAFTED, "SELECT id, CASE WHEN CAST(id AS BIGINT) % 3 = 0 THEN "
                                   "'on it: ' || id ELSE draft_reply END AS draft_reply, "
                                   "CASE CAST(id AS BIGINT) % 3 WHEN 0 THEN 'llm' WHEN 1 THEN "
@@ -437,6 +435,22 @@ JOIN (SELECT a.dimension, sum(a.s * b.s) AS pe
     return out
 
 
+def _judge_prompt() -> str:
+    """The digest of a draft's judge prompt."""
+    return "md5(concat(" + ", ".join((
+            _q(f'Grade a draft reply of the {inputs.BRAND} support desk.\nMessage: "'), "text",
+            _q('"\nCases it was grounded in:\n'), "coalesce(nullif(block, ''), '(none retrieved)')",
+            _q('\nDraft: "'), "draft_reply",
+            _q('"\nGive whole scores from 1 (poor) to 5 (excellent):\n'
+               "- grounded: invents no facts beyond the message and the cases\n"
+               "- relevant: speaks to what the customer asked\n"
+               "- tone: professional and empathetic\n"
+               "- actionable: names a clear and correct next step\n"
+               'Answer with one JSON object: {"grounded": n, "relevant": n, "tone": n, '
+               '"actionable": n, "notes": "one sentence"}'),
+    )) + "))"
+
+
 def _rule_matches() -> str:
     hits = " + ".join(
         f"{_hit('t', [p])}::BIGINT" for _, patterns in inputs.RULES.rules for p in patterns

@@ -41,7 +41,7 @@ REVIEW = T.StructType(
 JUDGE_DIMENSIONS = ("grounded", "relevant", "tone", "actionable")
 
 JUDGE_RESPONSE = T.StructType(
-    [T.StructField(d, T.IntegerType()) for d in JUDGE_DIMENSIONS] + _strings("notes")
+    [T.StructField(d, T.DoubleType()) for d in JUDGE_DIMENSIONS] + _strings("notes")
 )
 
 RULE = T.StructType(
