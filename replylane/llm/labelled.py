@@ -45,8 +45,9 @@ def features(
     documents: DataFrame, chosen: DataFrame, encode: Callable[[pa.RecordBatch], np.ndarray],
     columns: list[str], sparse: bool = False,
 ) -> DataFrame:
-    """(doc_id, y, vector) of the chosen documents, vectors with 16 bits a number.
+    """(doc_id, y, vector) of the chosen documents, one row an id, vectors with 16 bits a number.
 
+    Rows that repeat an id are thinned before the shuffle: the least vector stands.
     ``chosen`` is bounded by its limits, so it is broadcast. Sparse vectors are the slots that
     are not zero, with 16 bits each, then their numbers.
     """
@@ -64,7 +65,8 @@ def features(
             )
 
     picked = documents.select("doc_id", *columns).join(F.broadcast(chosen), "doc_id")
-    return picked.mapInArrow(run, "doc_id long, y int, vector binary")
+    coded = picked.mapInArrow(run, "doc_id long, y int, vector binary")
+    return coded.groupBy("doc_id").agg(F.min("y").alias("y"), F.min("vector").alias("vector"))
 
 
 def matrix(

@@ -36,6 +36,9 @@ PER_ROUND = 100
 KEEP_AT = 0.5
 SEED = 3
 COLUMNS = ["text", "source", "lang", "n_chars"]
+#: tasks that thin out the surest documents of all others
+TOP_TASKS = 8
+_TOPS = pa.schema([("kind", pa.int64()), ("doc_id", pa.int64()), ("sure", pa.float64())])
 
 _SOURCES, _LANGUAGES, _LENGTHS = 256, 32, 32
 META_WIDTH = _SOURCES + _LANGUAGES + _LENGTHS
@@ -140,9 +143,16 @@ def _surest(
         (F.max(view) if label else 1 - F.min(view)).alias(f"s{kind}")
         for kind, (view, label) in enumerate(("ab"[giver], label) for giver, label in _GIVES)
     ])
-    found = scored.join(known.select("doc_id"), "doc_id", "left_anti").mapInArrow(
-        top, "kind long, doc_id long, sure double"
-    ).toArrow()
+    def top_of_tops(batches):
+        table = pa.Table.from_batches(list(batches), schema=_TOPS)
+        kinds, ids, sure = (table.column(c).to_numpy() for c in _TOPS.names)
+        chosen = [own[_top(ids[own], sure[own], each)] for own in (np.flatnonzero(kinds == k) for k in range(len(_GIVES)))]
+        yield from table.take(pa.array(np.concatenate(chosen))).to_batches()
+
+    # a few rows of each task, thinned out once more before they reach the driver
+    schema = "kind long, doc_id long, sure double"
+    tops = scored.join(known.select("doc_id"), "doc_id", "left_anti").mapInArrow(top, schema)
+    found = tops.repartition(TOP_TASKS).mapInArrow(top_of_tops, schema).toArrow()
     kinds, ids, sure = (found.column(c).to_numpy() for c in ("kind", "doc_id", "sure"))
     out: list[dict[int, int]] = [{}, {}]
     for kind, (giver, label) in enumerate(_GIVES):
