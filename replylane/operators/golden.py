@@ -34,14 +34,22 @@ def stale_labels(template: DataFrame, labels: DataFrame) -> DataFrame:
 def merge_labels(
     template: DataFrame, labels: DataFrame, labeled_by: str, check: bool = True
 ) -> DataFrame:
-    """Fill the template from the labels; with ``check`` a row without label is an error."""
+    """Fill the template from the labels; with ``check`` a row without label, or with two, is an error.
+
+    Without, of repeated labels of a row the least stands.
+    """
     if check:
         lacking = missing_labels(template, labels)
         first = [r["pair_id"] for r in lacking.orderBy("pair_id").limit(10).collect()]
         if first:
             raise ValueError(f"{lacking.count()} pair ids have no gold label: {first}")
+        repeated = labels.groupBy("pair_id").count().where("count > 1")
+        first = [r["pair_id"] for r in repeated.orderBy("pair_id").limit(10).collect()]
+        if first:
+            raise ValueError(f"pair ids with more than one gold label: {first}")
     bare = template.drop(*LABEL_COLUMNS, "labeled_by")
-    merged = bare.join(labels.select("pair_id", *LABEL_COLUMNS), "pair_id")
+    one = labels.groupBy("pair_id").agg(F.min(F.struct(*LABEL_COLUMNS)).alias("_label"))
+    merged = bare.join(one.select("pair_id", "_label.*"), "pair_id")
     return merged.withColumn("labeled_by", F.lit(labeled_by)).select(*GOLDEN.names)
 
 

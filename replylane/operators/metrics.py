@@ -123,8 +123,17 @@ def class_report(df: DataFrame, truth: str, pred: str) -> DataFrame:
     return labels.drop("hits").unionByName(summary)
 
 
-def confusion_matrix(df: DataFrame, truth: str, pred: str, labels: list[str]) -> DataFrame:
-    """One row per true label, one column per predicted label, zeros included."""
+def confusion_matrix(
+    df: DataFrame, truth: str, pred: str, labels: list[str], other: str | None = None
+) -> DataFrame:
+    """One row per true label, one column per predicted label, zeros included.
+
+    With ``other``, labels that are not listed count under that name; without, pairs of labels
+    of which one is not listed are left out.
+    """
+    if other is not None:
+        named = {c: F.when(F.col(c).isin(*labels), F.col(c)).otherwise(other) for c in (truth, pred)}
+        df, labels = df.withColumns(named), [*labels, other]
     counts = confusion_counts(df, truth, pred)
     wide = counts.groupBy("truth").pivot("pred", labels).agg(F.sum("n"))
     listed = inline(df, [(label,) for label in labels], ["truth"])

@@ -113,3 +113,10 @@ def test_judging(spark):
     gaps = judging.mean_difference(judging.with_human(scores, human)).collect()
     assert {r["dimension"]: (r["n"], r["mean_abs_diff"]) for r in gaps} == {
         "grounded": (2, 1.0), "relevant": (2, 0.0), "tone": (2, 1.0), "actionable": (2, 2.0)}
+
+
+def test_labels_off_the_list_count_as_others(spark):
+    rows = [("a", "a"), ("a", "x"), ("y", "b"), (None, "b"), ("b", None)]
+    df = spark.createDataFrame(rows, "t string, p string")
+    got = {r["truth"]: (r["a"], r["b"], r["rest"]) for r in metrics.confusion_matrix(df, "t", "p", ["a", "b"], "rest").collect()}
+    assert got == {"a": (1, 0, 1), "b": (0, 0, 1), "rest": (0, 2, 0)}
