@@ -38,7 +38,7 @@ END = 50256
 CONTEXT = 2048
 BLOCK_TOKENS = 2 << 20
 #: parts that a task remembers, and the longest of them
-KNOWN_PARTS, KNOWN_LENGTH = 200_000, 64
+KNOWN_PARTS, KNOWN_LENGTH = 100_000, 32
 _APART = re.compile(r"(?<=\S) (?=\S)")
 
 SEGMENTS = pa.schema([

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 IN_WORD = np.ones(256, bool)
 IN_WORD[list(SPACES)] = False
