@@ -4,6 +4,8 @@ import os
 import random
 
 from replylane import staging
+from replylane.operators.tfidf import TfidfModel
+from replylane.plans import training
 from replylane.plans.training import fit_intent_model
 from replylane.registry.batch import gradient_of
 from replylane.staging import clear, stage
@@ -28,3 +30,13 @@ def test_clear_removes_staged_tables(spark, tmp_path, monkeypatch):
     assert os.path.exists(path)
     clear(spark)
     assert not os.path.exists(path)
+
+
+def test_long_texts_are_more_than_one_task(spark):
+    rows = [(" ".join(f"w{(i * 31 + j) % 900}" for j in range(300)), i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "text string, y int")
+    vectors = TfidfModel.fit(df, "text").with_vector(df, "text").select("features")
+    entries = sum(r.features.numNonzeros() for r in vectors.collect())
+    assert training.in_blocks(vectors, entries // 4).rdd.getNumPartitions() >= 4
+    assert training.in_blocks(vectors, entries).rdd.getNumPartitions() == 1
+    assert training.in_blocks(vectors.limit(0)).count() == 0
