@@ -44,6 +44,7 @@ def main() -> None:
     timed("build_pairs", lambda: inputs.labelled_pairs(spark, sf_dir))
     timed("build_case_index", lambda: inputs.case_index(spark, sf_dir))
     timed("train_classifier", lambda: inputs.model(spark, sf_dir))
+    timed("train_language_classifier", lambda: inputs.language_model(spark, sf_dir))
     for name in HEADLINES:
         timed(name, lambda: batch.QUERIES[name](spark, sf_dir)
               .write.format("noop").mode("overwrite").save())
