@@ -3,11 +3,15 @@
 import os
 import random
 
+from pyspark.sql import functions as F
+
 from replylane import staging
 from replylane.operators.tfidf import TfidfModel
 from replylane.plans import training
 from replylane.plans.training import fit_intent_model
+from replylane.registry import certificates
 from replylane.registry.batch import gradient_of
+from replylane.registry.certificates import coefficients
 from replylane.staging import clear, stage
 
 
@@ -40,3 +44,20 @@ def test_long_texts_are_more_than_one_task(spark):
     assert training.in_blocks(vectors, entries // 4).rdd.getNumPartitions() >= 4
     assert training.in_blocks(vectors, entries).rdd.getNumPartitions() == 1
     assert training.in_blocks(vectors.limit(0)).count() == 0
+
+
+def test_scores_are_checked_on_vectors_made_once(spark, monkeypatch):
+    rng = random.Random(4)
+    words = {"a": ["red", "blue", "sky"], "b": ["bread", "milk", "sky"], "c": ["rail", "road", "sea"]}
+    rows = [(f"r{i}", " ".join(rng.choice(words[k]) for _ in range(6)), k) for i in range(60) for k in [rng.choice("abc")]]
+    model = fit_intent_model(spark.createDataFrame(rows, "id string, text string, y string"), "text", "y")
+    asked = [(i, t) for i, t, _ in rows] + [("none", ""), ("null", None), ("odd", "zzz"), ("r1", "sky sea")]
+    made, with_vector = [], TfidfModel.with_vector
+    monkeypatch.setattr(TfidfModel, "with_vector", lambda *a: made.append(1) or with_vector(*a))
+    gaps = certificates.score_gaps(model, spark.createDataFrame(asked, "id string, text string"), "id", "text").collect()
+    assert len(made) == 1 and sorted(r.id for r in gaps) == sorted(i for i, _ in asked)
+    assert all(r.gap == 0 for r in gaps)
+    monkeypatch.setattr(certificates, "coefficients", lambda s, m: stage(coefficients(s, m).withColumn(
+        "weights", F.transform("weights", lambda w, i: w + i)), "wrong"))
+    gaps = certificates.score_gaps(model, spark.createDataFrame(asked, "id string, text string"), "id", "text").collect()
+    assert {r.id for r in gaps if r.gap > 0} >= {f"r{i}" for i in range(60)}
