@@ -1,6 +1,7 @@
 """The fit: a vanishing gradient after few passes, whatever the scale of the terms."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -53,3 +54,38 @@ def test_saved_model(spark, tmp_path):
     again = regression.Regression.load(spark, str(tmp_path / "m"))
     assert (again.weights == kept.weights).all() and (again.offsets == kept.offsets).all()
     assert (kept.coefficientMatrix.toArray() == kept.weights).all()
+
+
+def test_vectors_are_dealt_by_entries_to_few_tasks(spark, monkeypatch, tmp_path):
+    """A pass costs a job of few tasks, however many partitions the vectors come from."""
+    monkeypatch.setattr(regression, "PIECE", 60)
+    monkeypatch.setattr(regression, "ENTRIES_PER_TASK", 50)
+    monkeypatch.setattr(regression, "new_path", lambda *_: str(tmp_path / "vectors"))
+    rng = np.random.default_rng(6)
+    sizes = [0, 50, *rng.integers(0, 30, 98).tolist()]
+    rows = [(Vectors.sparse(TERMS, [(j, 1.0 + i) for j in range(n)]), i % LABELS, 1.0) for i, n in enumerate(sizes)]
+    df = spark.createDataFrame(rows, ["features", "label", "weight"])
+    blocks = regression.written(regression.packed(df.repartition(30), "features", "label", "weight"))
+    most = regression.TASKS_A_CORE * spark.sparkContext.defaultParallelism
+    assert 1 < len(blocks.tasks) <= most
+    met = []
+    for own in blocks.tasks:
+        met.append([])
+        for path, first, last in own:
+            held = pa.ipc.open_file(path)
+            for i in range(first, last):
+                met[-1] += [len(x) // 4 for x in held.get_batch(i)["ids"].to_pylist()]
+    assert sorted(sum(met, [])) == sorted(sizes)
+    assert max(map(sum, met)) <= 2 * sum(sizes) / len(met) + 60
+    weights, offsets = rng.normal(size=(LABELS, TERMS)), rng.normal(size=LABELS)
+    x = np.array([v.toArray() for v, *_ in rows])
+    scores = x @ weights.T + offsets
+    logs = scores - scores.max(1, keepdims=True)
+    logs -= np.log(np.exp(logs).sum(1, keepdims=True))
+    sums = regression._pass(blocks, weights, offsets, True)
+    y = np.arange(100) % LABELS
+    assert np.isclose(sums[0], -logs[np.arange(100), y].sum())
+    slope = np.column_stack([(np.exp(logs) - np.eye(LABELS)[y]).T @ x, (np.exp(logs) - np.eye(LABELS)[y]).sum(0)])
+    assert np.allclose(sums[1:1 + slope.size], slope.ravel())
+    none = regression.written(regression.packed(df.limit(0), "features", "label", "weight"))
+    assert not none.tasks and not regression._pass(none, weights, offsets, False).any()
