@@ -27,6 +27,20 @@ def test_gradient_tells_an_early_stop(spark):
     assert len(gaps[1000]) == 3 and max(gaps[1000]) == 0 < max(gaps[2])
 
 
+def test_gradient_counts_every_row_and_makes_vectors_once(spark, monkeypatch):
+    """Rows that share an id, or have none, count as they did in the fit; entries meet no others."""
+    rng = random.Random(8)
+    words = {"a": ["red", "blue", "sky", "sea"], "b": ["bread", "milk", "sky", "salt"], "c": ["rail", "road", "sea", "salt"]}
+    rows = [(None if i % 5 == 0 else f"r{i % 7}", " ".join(rng.choice(words[k]) for _ in range(6)), k)
+            for i in range(90) for k in [rng.choice("aabc")]] + [("x", "", "a"), ("y", "zzz", "b")]
+    df = spark.createDataFrame(rows, "pair_id string, customer_clean string, weak_intent string")
+    model = fit_intent_model(df, "customer_clean", "weak_intent")
+    made, with_vector = [], TfidfModel.with_vector
+    monkeypatch.setattr(TfidfModel, "with_vector", lambda *a: made.append(1) or with_vector(*a))
+    gaps = {r.label: r.gap for r in gradient_of(model, df).collect()}
+    assert gaps == {"a": 0, "b": 0, "c": 0} and len(made) == 1
+
+
 def test_clear_removes_staged_tables(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(staging, "shared_dir", lambda _: str(tmp_path))  # others keep theirs
     table = stage(spark.range(3), "gone")
