@@ -41,6 +41,21 @@ def test_gradient_counts_every_row_and_makes_vectors_once(spark, monkeypatch):
     assert gaps == {"a": 0, "b": 0, "c": 0} and len(made) == 1
 
 
+def test_round_trip_compares_every_row_with_itself(spark, monkeypatch):
+    """Rows that share an id, or have none, are compared once each; a changed model is told."""
+    rows = [(None if i == 3 else f"r{i % 4}", t, k) for i, (t, k) in enumerate([("red sky sea", "a"), ("bread milk", "b")] * 6)]
+    df = spark.createDataFrame(rows, "pair_id string, customer_clean string, weak_intent string")
+    model = fit_intent_model(df, "customer_clean", "weak_intent")
+    monkeypatch.setattr(certificates.inputs, "language_model", lambda *_: model)
+    monkeypatch.setattr(certificates.inputs, "language_rows", lambda *_: df)
+    found = certificates.model_round_trip(spark, "")
+    assert sorted(str(r.pair_id) for r in found.collect()) == sorted(str(i) for i, *_ in rows)
+    assert not any(r.differs for r in found.collect())
+    other = training.IntentModel(model.vectors, model.regression, ("b", "a"))
+    monkeypatch.setattr(training.IntentModel, "load", lambda *_: other)
+    assert all(r.differs for r in certificates.model_round_trip(spark, "").collect())
+
+
 def test_clear_removes_staged_tables(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(staging, "shared_dir", lambda _: str(tmp_path))  # others keep theirs
     table = stage(spark.range(3), "gone")
